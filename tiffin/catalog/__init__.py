@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from tiffin.catalog import models  # noqa: F401
+from tiffin.catalog import models, synthesis  # noqa: F401
 from tiffin.catalog.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -70,9 +70,11 @@ def bucket_ranges(weights: DataFrame, key: str, weight: str, buckets: int = BUCK
     cum = cumulative(weights.select(key, F.col(weight).cast("bigint").alias("_w")), key, "_w", "_c")
     total = weights.agg(F.sum(F.col(weight).cast("bigint"))).scalar()
 
+    whole = total.cast("decimal(28,0)")
+
     def cut(c: Column) -> Column:
-        return F.floor(c.cast("decimal(28,0)") * buckets / total.cast("decimal(28,0)")) \
-            .cast("bigint")
+        scaled = (c.cast("decimal(28,0)") * F.lit(buckets)).cast(UNITS)
+        return ((scaled - scaled % whole) / whole).cast("bigint")
 
     lo, hi = F.col("_c") - F.col("_w"), F.col("_c")
     return cum.select(

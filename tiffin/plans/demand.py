@@ -89,7 +89,8 @@ def planned_daily(spine: DataFrame, n_days: int, per_day: int, draw: Draw = xx_d
     events = resolved_events(spine, n_days)
     share = F.explode(F.array(
         F.struct(F.lit(-1).alias("at"), F.lit(SHOULDER_BEFORE).alias("share")),
-        F.struct(F.lit(0), F.lit(1.0)), F.struct(F.lit(1), F.lit(SHOULDER_AFTER))))
+        F.struct(F.lit(0).alias("at"), F.lit(1.0).alias("share")),
+        F.struct(F.lit(1).alias("at"), F.lit(SHOULDER_AFTER).alias("share"))))
     touched = (events.withColumn("s", share)
                .select((F.col("event_day") + F.col("s.at")).alias("day_index"), "event_day",
                        "event_name", (1 + (F.col("peak") - 1) * F.col("s.share")).alias("boost"))
