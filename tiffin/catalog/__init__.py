@@ -1,6 +1,12 @@
 """All registered queries."""
 
-from tiffin.catalog import models, synthesis  # noqa: F401
+from tiffin.catalog import (  # noqa: F401
+    models,
+    relational,
+    scalars,
+    synthesis,
+    money_and_text,
+)
 from tiffin.catalog.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

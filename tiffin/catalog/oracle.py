@@ -325,6 +325,6 @@ select order_id, order_ref, customer_id, restaurant_id, zone_id, cast(placed_at
 view("m_fct_deliveries", """
 select m.order_id, o.customer_id, o.restaurant_id, o.zone_id, cast(m.placed_at as date) as date_day,
  m.placed_at, m.accepted_rider_id, m.total_attempts, m.was_matched, m.accepted_at,
- case when m.accepted_at is not null then cast(epoch(m.accepted_at) as bigint)
-  - cast(epoch(m.placed_at) as bigint) end as seconds_to_accept
+ case when m.accepted_at is not null then (epoch_us(m.accepted_at) // 1000000)
+  - (epoch_us(m.placed_at) // 1000000) end as seconds_to_accept
 from m_matching m join b_shells o on o.order_id = m.order_id""")

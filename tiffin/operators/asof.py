@@ -43,7 +43,10 @@ def by_precedence(facts: DataFrame, rates: DataFrame, scopes: list[tuple[str, st
         rows = rates.filter(F.col("scope") == scope)
         card = _one_rate_per_window(rows, value, tiebreak)
         if key is None:
-            out = out.withColumn(f"_hit{i}", _calendar_lookup(card, F.col(at)))
+            out = out.withColumn("_card", _calendar(card))
+            live = F.filter("_card", lambda w: (F.col(at) >= w["effective_from"])
+                            & (F.col(at) < w["effective_to"]))
+            out = out.withColumn(f"_hit{i}", F.get(live, F.lit(0))["v"]).drop("_card")
         else:
             named = card.select(F.col("scope_key").alias("_key"), "effective_from",
                                 "effective_to", F.col("_value").alias(f"_hit{i}"))
@@ -64,11 +67,9 @@ def _one_rate_per_window(rows: DataFrame, value: str, tiebreak: str) -> DataFram
         F.min_by(value, tiebreak).alias("_value"))
 
 
-def _calendar_lookup(card: DataFrame, at: Column) -> Column:
-    """The rate of a scope without key. Its card has one row per start date, so it is read as one
+def _calendar(card: DataFrame) -> Column:
+    """The rates of a scope without key. Its card has one row per start date, so it is read as one
     array (a scalar subquery) instead of a join that would have no equal key."""
     row = F.struct("effective_from", open_end(F.col("effective_to"), "date").alias("effective_to"),
                    F.col("_value").alias("v"))
-    windows = card.agg(F.sort_array(F.collect_list(row))).scalar()
-    live = F.filter(windows, lambda w: (at >= w["effective_from"]) & (at < w["effective_to"]))
-    return F.get(live, 0)["v"]
+    return card.agg(F.sort_array(F.collect_list(row))).scalar()

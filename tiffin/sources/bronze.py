@@ -321,12 +321,12 @@ class Bronze:
         due = self.orders().filter("order_status <> 'UNFULFILLED'").selectExpr(
             "order_id as k", "placed_at", "order_status",
             "cast(order_total * 100 as bigint) as cents")
-        kinds = F.array(
-            F.struct(F.lit(0).alias("i"), F.lit("AUTH").alias("kind"), F.lit(True).alias("on")),
-            F.struct(F.lit(1), F.lit("CAPTURE"), F.expr("k % 50 <> 3")),
-            F.struct(F.lit(2), F.lit("CAPTURE"), F.expr("k % 97 = 5 and k % 50 <> 3")),
-            F.struct(F.lit(3), F.lit("REFUND"),
-                     F.expr("order_status = 'CANCELLED' and k % 50 <> 3")))
+        kinds = F.array(*[
+            F.struct(F.lit(i).alias("i"), F.lit(kind).alias("kind"), F.expr(when).alias("on"))
+            for i, kind, when in (
+                (0, "AUTH", "true"), (1, "CAPTURE", "k % 50 <> 3"),
+                (2, "CAPTURE", "k % 97 = 5 and k % 50 <> 3"),
+                (3, "REFUND", "order_status = 'CANCELLED' and k % 50 <> 3"))])
         return (due.withColumn("m", F.explode(kinds)).filter("m.on")
                 .withColumn("created_at", _seconds("placed_at", "m.i * 3600 + 5"))
                 .selectExpr("k * 4 + m.i as payment_id", "k as order_id", "m.kind as kind",
