@@ -6,6 +6,8 @@ from tiffin.catalog import (  # noqa: F401
     scalars,
     synthesis,
     money_and_text,
+    checks,
+    maintenance,
 )
 from tiffin.catalog.registry import ORACLE, QUERIES
 

@@ -259,22 +259,17 @@ def q17_definition(b: Bronze):
         "- tax_cents - psp_fee_cents").agg(F.count(F.lit(1)).alias("n_differ"))
 
 
-@query("q16_boundary_days", """select order_date, count(distinct platform_fee_cents) as n_fees,
- count(distinct tax_cents * 0 + tax_rate_bps) as n_taxes from (select c.order_date,
-  c.platform_fee_cents, c.tax_cents, t.tax_rate_bps from m_order_cents c join m_fee f
-   on f.order_id = c.order_id and f.precedence <> 1
-  join b_taxes t on t.city_id = c.city_id and c.order_date >= t.effective_from
-   and c.order_date < coalesce(t.effective_to, date '9999-12-31')
-  where c.city_id = 0 and c.order_date between date '1998-06-01' and date '1998-07-31')
-group by order_date""")
+@query("q16_boundary_days", """select o.city_id, o.order_date,
+ count(distinct f.platform_fee_cents) as n_fees, count(distinct t.tax_rate_bps) as n_taxes
+from m_order_facts o join m_fee f on f.order_id = o.order_id and f.precedence <> 1
+join b_taxes t on t.city_id = o.city_id and o.order_date >= t.effective_from
+ and o.order_date < coalesce(t.effective_to, date '9999-12-31') group by 1, 2""")
 def q16(b: Bronze):
-    """Fee and tax of one city around the day both change; one of each per day."""
-    facts = order_facts(b).filter(
-        "city_id = 0 and order_date between date'1998-06-01' and date'1998-07-31'").select(
-        "order_id", "order_date", "restaurant_id", "city_id")
+    """Fees and taxes per city and day; exactly one of each, also around a change date."""
+    facts = order_facts(b).select("order_id", "order_date", "restaurant_id", "city_id")
     priced = finance.tax_asof(finance.fee_asof(facts, b.fee_schedule()), b.tax_jurisdictions())
     # Restaurant fees differ by design; the boundary concerns the city and global scopes.
-    return priced.filter("precedence <> 1").groupBy("order_date").agg(
+    return priced.filter("precedence <> 1").groupBy("city_id", "order_date").agg(
         F.countDistinct("platform_fee_cents").alias("n_fees"),
         F.countDistinct("tax_rate_bps").alias("n_taxes"))
 

@@ -21,7 +21,7 @@ from tiffin.sources.bronze import Bronze
 # -- shared frames -----------------------------------------------------------------------------
 
 view("m_order_facts", """
-select order_id, customer_id, restaurant_id, zone_id, n_regionkey as city_id, placed_at,
+select order_id, customer_id, restaurant_id, zone_id, cast(n_regionkey as bigint) as city_id, placed_at,
  cast(placed_at as date) as order_date, order_status, order_id % 7 * 10 as surge_cents,
  order_id % 5 * 20 as tip_cents, case when order_id % 11 = 0 then 150 else 0 end as promo_cents,
  case when order_id % 11 = 0 then 75 else 0 end as platform_promo_cents,
@@ -596,10 +596,11 @@ def u01(b: Bronze):
 from (select *, row_number() over (partition by order_id, event_type, occurred_at
  order by _arrival_path, received_at, event_id) as rn
  from (select *, 'batch' as _arrival_path from b_events where event_id % 3 <> 0
-  union all select *, 'stream' from b_events where event_id % 2 = 0)) where rn = 1""")
+  union all select *, 'stream' from b_events where event_id % 3 = 0 or event_id % 2 = 0)) where rn = 1""")
 def u02(b: Bronze):
+    """Every event arrives on one path or the other, some on both."""
     events = b.order_events()
-    return ev.unioned(events.filter("event_id % 3 <> 0"), events.filter("event_id % 2 = 0")).select(
+    return ev.unioned(events.filter("event_id % 3 <> 0"), events.filter("event_id % 3 = 0 or event_id % 2 = 0")).select(
         "event_id", "order_id", "event_type", "occurred_at", "_arrival_path")
 
 
