@@ -8,6 +8,7 @@ from tiffin.catalog import (  # noqa: F401
     money_and_text,
     checks,
     maintenance,
+    streams,
 )
 from tiffin.catalog.registry import ORACLE, QUERIES
 

@@ -151,7 +151,12 @@ def _bucketed(b: Bronze):
                                   .alias("day_index"), F.hour("placed_at").alias("hour"))
 
 
-@query("q09_volume_clean", "select day_index, hour, orders as expected, orders as actual from m_demand_hourly where orders is null")
+@query("q09_volume_clean", """
+select e.day_index, e.hour, e.orders as expected, cast(coalesce(a.n, 0) as integer) as actual
+from m_demand_hourly e left join (select cast(cast(placed_at as date)
+  - (select min(cast(o_orderdate as date)) from orders) as integer) as day_index,
+  hour(placed_at) as hour, count(*) as n from b_heads group by 1, 2) a
+ on a.day_index = e.day_index and a.hour = e.hour where e.orders <> coalesce(a.n, 0)""")
 def q09(b: Bronze):
     return quality.volume_mismatch(_bucketed(b), actual_hourly(b)).select(
         "day_index", "hour", F.col("expected").cast("int").alias("expected"),
@@ -227,13 +232,20 @@ def q11_hours_broken(b: Bronze):
     return quality.hour_day_mismatch(actual_daily(b), off)
 
 
-@query("q11_rider_capacity", """select day_index, orders, (select count(*) from b_riders
- where is_active and vehicle_type = 'car') as active_riders from m_demand_daily
-where orders > 0 * (select count(*) from b_riders where is_active and vehicle_type = 'car')""")
+_CAPACITY = """select day_index, orders, (select count(*) from b_riders where {who}) as active_riders
+from m_demand_daily where orders > {per} * (select count(*) from b_riders where {who})"""
+
+
+@query("q11_capacity_clean", _CAPACITY.format(who="is_active", per=12))
 def q11_capacity(b: Bronze):
-    """With a capacity of zero per rider every day is over it."""
-    cars = b.riders().filter("vehicle_type = 'car'")
-    return quality.over_capacity(actual_daily(b), cars, per_rider=0)
+    return quality.over_capacity(actual_daily(b), b.riders())
+
+
+@query("q11_capacity_broken", _CAPACITY.format(who="is_active and vehicle_type = 'car'", per=1))
+def q11_capacity_broken(b: Bronze):
+    """Only the cars, and one delivery each: too few for the busy days."""
+    return quality.over_capacity(actual_daily(b), b.riders().filter("vehicle_type = 'car'"),
+                                 per_rider=1)
 
 
 @query("q11_zones_without_rider", """select zone_id from b_zones where zone_id not in
@@ -243,7 +255,11 @@ def q11_zones(b: Bronze):
     return quality.zones_without_rider(b.zones(), b.riders().filter("rider_id >= 0"))
 
 
-@query("q14_rerun_clean", "select 'n_rows' as measure, cast(0 as decimal(38,2)) as before, cast(0 as decimal(38,2)) as after from orders where o_orderkey is null")
+@query("q14_rerun_clean", """select * from (select 'n_rows' as measure,
+ cast(count(*) as decimal(38,2)) as before, cast((select count(*) from m_fct_orders)
+ as decimal(38,2)) as after from m_fct_orders
+union all select 'revenue', cast(sum(net_revenue) as decimal(38,2)), cast((select sum(net_revenue)
+ from m_fct_orders) as decimal(38,2)) from m_fct_orders) where before <> after""")
 def q14(b: Bronze):
     from tiffin.catalog.models import fct_orders
     return quality.changed_by_rerun(fct_orders(b), fct_orders(b), {
@@ -262,10 +278,14 @@ def q14_broken(b: Bronze):
         "n_rows": F.count(F.lit(1)), "cents": F.sum("amount")})
 
 
-_PATHS = "select 'missing arrival path' as problem from (select {n} as n from b_events limit 1) where n < 2"
+_PATHS = """select 'missing arrival path' as problem from (select count(distinct path) as n
+ from (select path, row_number() over (partition by order_id, event_type, occurred_at
+  order by path, received_at, event_id) as rn from ({arms})) where rn = 1) where n < 2"""
 
 
-@query("q18_arrival_paths_clean", _PATHS.format(n="2"))
+@query("q18_arrival_paths_clean", _PATHS.format(
+    arms="select *, 'batch' as path from b_events where event_id % 3 <> 0 union all "
+         "select *, 'stream' from b_events where event_id % 3 = 0 or event_id % 2 = 0"))
 def q18(b: Bronze):
     e = b.order_events()
     both = ev.unioned(e.filter("event_id % 3 <> 0"),
@@ -273,7 +293,7 @@ def q18(b: Bronze):
     return _missing_path(both)
 
 
-@query("q18_arrival_paths_broken", _PATHS.format(n="1"))
+@query("q18_arrival_paths_broken", _PATHS.format(arms="select *, 'batch' as path from b_events"))
 def q18_broken(b: Bronze):
     return _missing_path(ev.unioned(b.order_events(), None))
 

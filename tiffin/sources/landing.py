@@ -51,6 +51,12 @@ def write_shard(df: DataFrame, root: str, index: int, kind: str = "json") -> str
     return path
 
 
+def write_shards(df: DataFrame, index: Column, root: str) -> None:
+    """All shards in one pass, as JSON."""
+    text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns], index.alias("shard"))
+    text.write.partitionBy("shard").json(root)
+
+
 def stream(spark: SparkSession, path: str, columns: list[str], kind: str,
            max_files: int = 8) -> DataFrame:
     """A file stream with a frozen schema, bounded batches and nested folders.
