@@ -257,6 +257,31 @@ def m10(b: Bronze):
     return out
 
 
+def _rewritten(b: Bronze, write, *args):
+    path = scratch(b.spark, "layout")
+    write(_bench(b).select("order_id", "zone_id", "order_total", "date_day", "month"), path, *args)
+    return b.spark.read.parquet(path).select("order_id", "zone_id", "order_total", "date_day")
+
+
+_SAME = "select order_id, zone_id, order_total, cast(placed_at as date) as date_day from b_orders"
+
+
+@query("m07_partitioned_layout", _SAME)
+def m07(b: Bronze):
+    return _rewritten(b, layout.partitioned, "month")
+
+
+@query("m08_z_ordered_layout", _SAME)
+def m08(b: Bronze):
+    """Two columns on one curve."""
+    return _rewritten(b, layout.z_ordered, ["zone_id", "order_id"], FILES)
+
+
+@query("m09_clustered_layout", _SAME)
+def m09(b: Bronze):
+    return _rewritten(b, layout.clustered, ["zone_id"], FILES)
+
+
 def layout_results(b: Bronze):
     """Bytes that the four fixed queries must read in each layout."""
     lo, hi = F.lit("1996-06-03").cast("date"), F.lit("1996-09-06").cast("date")

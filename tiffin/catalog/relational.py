@@ -12,8 +12,8 @@ from tiffin.functions.clock import seconds_between
 from tiffin.functions.draws import by_threshold, md5_draw
 from tiffin.functions.keys import surrogate_key
 from tiffin.functions.text import match_key
-from tiffin.operators import allocate, asof, layout, quality, slices, vectors
-from tiffin.operators.islands import capped_shifts, islands, overlap_flags
+from tiffin.operators import allocate, asof, layout, quality, skew, slices, vectors
+from tiffin.operators.islands import capped_shifts, islands, median_length, overlap_flags
 from tiffin.plans import events as ev
 from tiffin.plans import finance, staging
 from tiffin.sources.bronze import Bronze
@@ -446,10 +446,9 @@ def a12(b: Bronze):
 @query("a13_median_fill", """select m.med as median_seconds, count(*) as n_open from b_shifts,
  m_median m where logout_at is null group by 1""")
 def a13(b: Bronze):
-    length = seconds_between(F.col("login_at"), F.col("logout_at"))
-    return b.courier_shifts().agg(
-        F.percentile_approx(length, 0.5, F.lit(1_000_000)).alias("median_seconds"),
-        F.count_if(F.col("logout_at").isNull()).alias("n_open"))
+    shifts = b.courier_shifts()
+    return shifts.agg(F.count_if(F.col("logout_at").isNull()).alias("n_open")).select(
+        median_length(shifts).alias("median_seconds"), "n_open")
 
 
 @query("a14_approx_distinct")
@@ -526,12 +525,12 @@ def w07(b: Bronze):
  row_number() over (partition by order_id order by created_at, payment_id) as rn from b_movements
  where kind = 'CAPTURE' and status = 'SUCCEEDED') where rn > 1""")
 def w08(b: Bronze):
-    """All but the first capture; the first comes from an aggregate, not a ranked window."""
+    """All but the first capture; the first is folded per salt, not ranked in a window."""
     captures = b.money_movements().filter("kind = 'CAPTURE' and status = 'SUCCEEDED'")
-    first = captures.groupBy("order_id").agg(
-        F.min(F.struct("created_at", "payment_id"))["payment_id"].alias("_first"))
-    return captures.join(first, "order_id").filter("payment_id <> _first").select(
-        "payment_id", "order_id", "amount_cents")
+    found = skew.attach(captures, ["order_id"], _first=("min", F.struct("created_at",
+                                                                       "payment_id")))
+    return found.filter("payment_id <> _first.payment_id").select("payment_id", "order_id",
+                                                                  "amount_cents")
 
 
 # -- limits ------------------------------------------------------------------------------------

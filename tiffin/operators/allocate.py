@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiffin.functions.draws import BUCKETS
+from tiffin.operators.skew import attach
 from tiffin.operators.slices import POS, SLICE, ranked, running, sliced
 
 UNITS = "decimal(38,0)"
@@ -19,8 +20,8 @@ def largest_remainder(df: DataFrame, group: list[str], total: str, weight: str,
     arithmetic is on whole units, so nothing is rounded; a group whose weights sum to zero fails.
     """
     scale = 10 ** places
-    wsums = df.groupBy(*group).agg(F.sum(F.col(weight).cast("decimal(18,4)")).alias("_wsum"))
-    units = (df.join(wsums, group)
+    weighed = attach(df, group, _wsum=("sum", F.col(weight).cast("decimal(18,4)")))
+    units = (weighed
              .withColumn("_total", (F.col(total).cast("decimal(18,4)") * scale).cast("decimal(20,0)"))
              .withColumn("_w", (F.col(weight).cast("decimal(18,4)") * 10_000).cast("decimal(18,0)"))
              .withColumn("_ws", (F.col("_wsum") * 10_000).cast("decimal(24,0)")))
@@ -29,11 +30,12 @@ def largest_remainder(df: DataFrame, group: list[str], total: str, weight: str,
     product = (F.col("_total") * F.col("_w")).cast(UNITS)
     split = (units.withColumn("_left", (product % checked).cast(UNITS))
              .withColumn("_floor", ((product - F.col("_left")) / F.col("_ws")).cast("decimal(20,0)"))
-             .withColumn("_by", -F.col("_left")))
-    short = split.groupBy(*group).agg(
-        (F.first("_total") - F.sum("_floor")).cast("bigint").alias("_short"))
-    placed = ranked(split, group, ["_by", pos], "_rank").join(short, group)
-    part = F.col("_floor") + F.when(F.col("_rank") < F.col("_short"), 1).otherwise(0)
+             .withColumn("_by", -F.col("_left"))
+             .select(*df.columns, "_total", "_floor", "_by"))
+    placed = attach(ranked(split, group, ["_by", pos], "_rank"), group,
+                    _given=("sum", F.col("_floor")))
+    short = (F.col("_total") - F.col("_given")).cast("bigint")
+    part = F.col("_floor") + F.when(F.col("_rank") < short, 1).otherwise(0)
     return placed.select(*df.columns, (part / F.lit(scale)).cast(f"decimal(18,{places})").alias(out))
 
 
@@ -52,8 +54,8 @@ def normalised(df: DataFrame, weight: str, group: list[str], out: str) -> DataFr
     if not group:
         total = df.agg(F.sum(weight)).scalar()
         return df.withColumn(out, F.col(weight) / total)
-    sums = df.groupBy(*group).agg(F.sum(weight).alias("_sum"))
-    return df.join(sums, group).withColumn(out, F.col(weight) / F.col("_sum")).drop("_sum")
+    summed = attach(df, group, _sum=("sum", F.col(weight)))
+    return summed.withColumn(out, F.col(weight) / F.col("_sum")).drop("_sum")
 
 
 def cumulative(df: DataFrame, key: str, weight: str, out: str) -> DataFrame:

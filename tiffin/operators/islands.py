@@ -2,22 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tiffin.functions.clock import elapsed_hours, seconds_between, wall_clock_hours
 from tiffin.operators.slices import POS, SLICE, previous, running, sliced
 
 
+def median_length(shifts: DataFrame) -> Column:
+    """The discrete median length of closed shifts as a scalar subquery, exact.
+
+    Lengths are counted per second first; what is accumulated afterwards is one row per length that
+    occurs, so it does not grow with the number of shifts.
+    """
+    counts = (shifts.filter("logout_at is not null")
+              .groupBy(seconds_between(F.col("login_at"), F.col("logout_at")).alias("length"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    upto = F.sum("n").over(W.orderBy("length").rowsBetween(W.unboundedPreceding, 0))
+    total = F.sum("n").over(W.partitionBy(F.lit(0)))
+    return (counts.select("length", upto.alias("upto"), total.alias("total"))
+            .filter(F.col("upto") * 2 >= F.col("total")).agg(F.min("length"))).scalar()
+
+
 def capped_shifts(shifts: DataFrame) -> DataFrame:
-    """Close open shifts at login plus the median length of closed ones (one row, not per row)."""
-    length = seconds_between(F.col("login_at"), F.col("logout_at"))
-    median = (shifts.filter(F.col("logout_at").isNotNull())
-              .agg(F.percentile_approx(length, 0.5, F.lit(1_000_000)))).scalar()
+    """Close open shifts at login plus the median length of closed ones (one value, not per row)."""
     return shifts.select(
         "shift_id", "courier_id", F.col("login_at").alias("shift_start"),
-        F.coalesce("logout_at",
-                   F.timestamp_add("SECOND", median.cast("int"), "login_at")).alias("shift_end"),
+        F.coalesce("logout_at", F.timestamp_add("SECOND", median_length(shifts).cast("int"),
+                                                "login_at")).alias("shift_end"),
         F.col("logout_at").isNull().alias("was_open"))
 
 

@@ -33,7 +33,11 @@ def _best(ids: list, matrix: np.ndarray, k: int):
             kept = (pd.concat([kept, found]).sort_values(["score", "review_id"],
                                                          ascending=[False, True])
                     .groupby("query_id").head(k))
-        yield kept
+        # Plain objects: a concatenated string column has several Arrow chunks.
+        yield pd.DataFrame({
+            "query_id": pd.Series(kept["query_id"].tolist(), dtype=object),
+            "review_id": pd.Series(kept["review_id"].tolist(), dtype=object),
+            "score": pd.Series(kept["score"].tolist(), dtype="float64")})
     return run
 
 

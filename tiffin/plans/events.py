@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tiffin.functions.clock import seconds_between
 from tiffin.operators.quality import first_reason
+from tiffin.operators.skew import attach
 from tiffin.operators.slices import POS, SLICE, first_per_key, previous, sliced
 
 NATURAL_KEY = ["order_id", "event_type", "occurred_at"]
@@ -24,14 +25,13 @@ def deduplicated(events: DataFrame) -> DataFrame:
 def flagged_events(events: DataFrame) -> DataFrame:
     """Later deliveries of an event carry DUP_EVENT although their id differs.
 
-    The winner of each key comes from an aggregate, so a key with very many copies is reduced on
-    the map side; Spark splits such a key in the join that follows.
+    The first delivery of each key is folded per salt, so a key with very many copies neither sits
+    in one task nor is ranked in a window.
     """
-    winners = events.groupBy(*NATURAL_KEY).agg(
-        F.min(F.struct("received_at", "event_id"))["event_id"].alias("_first"))
-    return events.join(winners, NATURAL_KEY).withColumn(
-        "reason_code", first_reason((F.col("event_id") != F.col("_first"), "DUP_EVENT"))) \
-        .drop("_first")
+    arrival = F.struct("received_at", "event_id")
+    found = attach(events, NATURAL_KEY, _first=("min", arrival))
+    return found.withColumn("reason_code", first_reason(
+        (F.col("event_id") != F.col("_first.event_id"), "DUP_EVENT"))).drop("_first")
 
 
 def lifecycle(events: DataFrame) -> DataFrame:

@@ -72,9 +72,14 @@ def ledger(orders: DataFrame) -> DataFrame:
 
 def flagged_claims(claims: DataFrame, payments: DataFrame) -> DataFrame:
     """Refund claims with their cents and the first reason to reject them, NULL when clean."""
-    known = payments.select("payment_id").distinct().withColumn("_known", F.lit(True))
+    # No distinct on the payments: a side that is an aggregate would disable skew splitting. The
+    # claims are reduced to those with a payment instead, which cannot fan out.
     read = claims.withColumn("amount_cents", signed_cents(F.col("amount_usd")))
-    joined = read.join(known, "payment_id", "left")
+    ids = payments.select("payment_id")
+    known = read.join(ids, "payment_id", "left_semi").withColumn("_known", F.lit(True))
+    unknown = read.join(ids, "payment_id", "left_anti").withColumn("_known",
+                                                                   F.lit(None).cast("boolean"))
+    joined = known.unionByName(unknown)
     reason = F.coalesce(F.when(F.col("amount_cents").isNull(), "MONEY_UNPARSEABLE"),
                         F.when(F.col("_known").isNull(), "ORPHAN_PAYMENT_REF"))
     return joined.withColumn("reason_code", reason).drop("_known")

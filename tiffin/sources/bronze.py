@@ -13,6 +13,7 @@ from tiffin.functions.draws import pick
 from tiffin.functions.keys import reference
 from tiffin.functions.money import MONEY
 from tiffin.functions.text import damaged
+from tiffin.operators.skew import lookup
 from tiffin.operators.slices import block_ranked
 
 # Delivery notes, cuisines, damage-free and in sentence case.
@@ -206,8 +207,8 @@ class Bronze:
                               ["home_zone_id"], "rider_id", "rider_idx")
         sizes = active.groupBy(F.col("home_zone_id").alias("zone_id")).agg(
             F.count(F.lit(1)).alias("n_riders"))
-        offers = (self.shells().select("order_id", "zone_id", "order_status", "placed_at")
-                  .join(sizes, "zone_id")
+        heads = self.shells().select("order_id", "zone_id", "order_status", "placed_at")
+        offers = (lookup(heads, sizes, ["zone_id"])
                   .selectExpr("*", "case when order_status = 'UNFULFILLED' then 2 + order_id % 2 "
                               "else 1 + order_id div 7 % 3 end as n")
                   .withColumn("attempt", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")))

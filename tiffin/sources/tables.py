@@ -1,6 +1,6 @@
 """Versioned parquet tables: replace, append and upsert by partition, safe to repeat.
 
-A commit writes new files under ``_part=…/_version=N`` and only then appends one row per touched
+A commit writes new files under ``_version=N/_part=…`` and only then appends one row per touched
 partition to a small log; readers follow the log. A job that dies before the log row leaves the old
 state visible, and a repeated ``(app, batch)`` is recognised and skipped.
 """
@@ -47,34 +47,43 @@ class VersionedTable:
     def exists(self) -> bool:
         return not self.log().isEmpty()
 
-    def _raw(self) -> DataFrame:
+    def _raw(self, visible: DataFrame) -> DataFrame:
+        """The files of the versions that ``visible`` names. Versions and partitions are table
+        metadata, few next to the rows, so they are listed on the driver and prune the scan."""
+        seen = visible.collect()
         stored = T.StructType(self.schema.fields + [T.StructField("_part", T.StringType()),
                                                     T.StructField("_version", T.LongType())])
-        if not self.exists():
+        if not seen:
             return self.spark.createDataFrame([], stored)
-        return self.spark.read.schema(stored).parquet(f"{self.path}/data")
+        paths = sorted({self._folder(r["_version"]) for r in seen})
+        parts = sorted({r["_part"] for r in seen})
+        files = (self.spark.read.schema(stored).option("basePath", f"{self.path}/data")
+                 .parquet(*paths).filter(F.col("_part").isin(parts)))
+        # `visible` was just listed on the driver, so it is small enough to broadcast.
+        return files.join(F.broadcast(visible), ["_part", "_version"], "left_semi")
+
+    def _folder(self, version: int) -> str:
+        return f"{self.path}/data/_version={version}"
 
     def read(self) -> DataFrame:
-        """Current rows. The log has one row per partition and commit; when Spark broadcasts it the
-        scan prunes directories at run time."""
-        return (self._raw().join(self.visible(), ["_part", "_version"], "left_semi")
-                .select(*self.schema.names))
+        """Current rows."""
+        return self._raw(self.visible()).select(*self.schema.names)
 
     def seen(self, app: str, batch: int) -> bool:
         return not self.log().filter((F.col("_app") == app) & (F.col("_batch") == batch)).isEmpty()
 
     def _commit(self, rows: DataFrame, replaces: bool, app: str, batch: int,
                 cleared: DataFrame | None = None) -> None:
+        """One writer at a time. The folder of a version is overwritten as a whole, so a second try
+        after a failure starts clean."""
         last = self.log().agg(F.max("_version")).first()[0]
         version = (last or 0) + 1
-        out = (rows.select(*self.schema.names).withColumn("_part", self._part)
-               .withColumn("_version", F.lit(version).cast("bigint")))
+        out = rows.select(*self.schema.names).withColumn("_part", self._part)
         # Rebalance keeps a hot partition from becoming one task and small ones from many files.
-        (out.hint("rebalance", F.col("_part")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("_part", "_version")
-         .parquet(f"{self.path}/data"))
-        written = (self.spark.read.schema(_stored(self.schema)).parquet(f"{self.path}/data")
-                   .filter(F.col("_version") == version).select("_part").distinct())
+        (out.hint("rebalance", F.col("_part")).write.mode("overwrite").partitionBy("_part")
+         .parquet(self._folder(version)))
+        written = (self.spark.read.schema(out.schema).parquet(self._folder(version))
+                   .select("_part").distinct())
         touched = written if cleared is None else written.unionByName(cleared).distinct()
         self._writer(touched.select("_part", F.lit(version).cast("bigint").alias("_version"),
                                     F.lit(replaces).alias("_replaces"), F.lit(app).alias("_app"),
@@ -108,23 +117,21 @@ class VersionedTable:
         if not self.exists():
             self._commit(batch, False, app, number)
             return True
-        source = batch.select(*self.schema.names)
-        parts = source.select(self._part.alias("_part")).distinct()
-        current = (self._raw().join(self.visible(), ["_part", "_version"], "left_semi")
-                   .join(parts, "_part", "left_semi").select(*self.schema.names))
-        if update:
-            kept = _without(current, source, keys)
-            self._commit(kept.unionByName(source), True, app, number)
-        else:
-            self._commit(_without(source, current, keys), False, app, number)
+        source = batch.select(*self.schema.names).persist()
+        try:
+            touched = [r[0] for r in source.select(self._part.alias("_part")).distinct().collect()]
+            current = self._raw(self.visible().filter(F.col("_part").isin(touched))) \
+                .select(*self.schema.names)
+            if update:
+                kept = _without(current, source, keys)
+                self._commit(kept.unionByName(source), True, app, number)
+            else:
+                self._commit(_without(source, current, keys), False, app, number)
+        finally:
+            source.unpersist()
         return True
 
 
-def _stored(schema: T.StructType) -> T.StructType:
-    return T.StructType(schema.fields + [T.StructField("_part", T.StringType()),
-                                         T.StructField("_version", T.LongType())])
-
-
 def _without(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``left`` whose key is not in ``right``; NULL keys match each other."""
     other = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys])
