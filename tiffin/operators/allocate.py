@@ -32,8 +32,7 @@ def largest_remainder(df: DataFrame, group: list[str], total: str, weight: str,
              .withColumn("_floor", ((product - F.col("_left")) / F.col("_ws")).cast("decimal(20,0)"))
              .withColumn("_by", -F.col("_left"))
              .select(*df.columns, "_total", "_floor", "_by"))
-    placed = attach(ranked(split, group, ["_by", pos], "_rank"), group,
-                    _given=("sum", F.col("_floor")))
+    placed = ranked(split, group, ["_by", pos], "_rank", sums={"_given": "_floor"})
     short = (F.col("_total") - F.col("_given")).cast("bigint")
     part = F.col("_floor") + F.when(F.col("_rank") < short, 1).otherwise(0)
     return placed.select(*df.columns, (part / F.lit(scale)).cast(f"decimal(18,{places})").alias(out))

@@ -45,13 +45,21 @@ def local_window(group: list[str]):
     return W.partitionBy(*group, SLICE).orderBy(POS)
 
 
-def ranked(df: DataFrame, group: list[str], order: list[str], out: str) -> DataFrame:
-    """Zero-based rank of each row in its group, contiguous, for groups of any size."""
+def ranked(df: DataFrame, group: list[str], order: list[str], out: str,
+           sums: dict[str, str] | None = None) -> DataFrame:
+    """Zero-based rank of each row in its group, contiguous, for groups of any size.
+
+    ``sums`` adds group totals of columns (name -> column) in the same pass.
+    """
+    sums = sums or {}
     placed = sliced(df, group + order)
-    parts = placed.groupBy(*group, SLICE).agg(F.count(F.lit(1)).alias("_n"),
-                                              F.min(POS).alias("_first"))
+    parts = placed.groupBy(*group, SLICE).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(POS).alias("_first"),
+        *[F.sum(c).alias(f"_part_{n}") for n, c in sums.items()])
+    whole = W.partitionBy(*group) if group else W.partitionBy(F.lit(0))
     starts = parts.select(*group, SLICE, "_first",
-                          F.coalesce(before(parts, group, F.sum("_n")), F.lit(0)).alias("_start"))
+                          F.coalesce(before(parts, group, F.sum("_n")), F.lit(0)).alias("_start"),
+                          *[F.sum(f"_part_{n}").over(whole).alias(n) for n in sums])
     return (placed.join(starts, group + [SLICE])
             .withColumn(out, (F.col("_start") + F.col(POS) - F.col("_first")).cast("bigint"))
             .drop(SLICE, POS, "_first", "_start"))

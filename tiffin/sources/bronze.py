@@ -190,9 +190,13 @@ class Bronze:
                 .withColumn("delivery_fee", F.expr(ZONE_FEE)))
 
     def orders(self) -> DataFrame:
-        subtotals = self.lines().groupBy("order_id").agg(F.sum("line_total").cast(MONEY).alias("s"))
+        # Whole cents add up as longs inside code generation; a wide decimal sum would not.
+        subtotals = (self.raw("lineitem", "l_orderkey", "l_extendedprice")
+                     .groupBy(F.col("l_orderkey").alias("order_id"))
+                     .agg(F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("s")))
         return (self.shells().join(subtotals, "order_id", "left")
-                .withColumn("subtotal", F.expr("cast(coalesce(s, 0) as decimal(18,2))"))
+                .withColumn("subtotal", F.expr(
+                    "cast(cast(coalesce(s, 0) as decimal(20,0)) * 0.01 as decimal(18,2))"))
                 .selectExpr("order_id", "order_ref", "customer_id", "restaurant_id", "zone_id",
                             "placed_at", "order_status", "subtotal", "delivery_fee",
                             "commission_pct",
