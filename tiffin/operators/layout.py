@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -111,3 +112,42 @@ def usage_cost(usage: DataFrame, prices: DataFrame) -> DataFrame:
 
 def column_statistics(spark: SparkSession, table: str) -> None:
     spark.sql(f"analyze table {table} compute statistics for all columns")
+
+
+LAYOUTS = {
+    "compacted": lambda df, path, files: compacted(df, path, files),
+    "partitioned": lambda df, path, files: partitioned(df, path, "month"),
+    "z_ordered": lambda df, path, files: z_ordered(df, path, ["zone_id"], files),
+    "clustered": lambda df, path, files: clustered(df, path, ["zone_id"], files),
+}
+
+# The fixed query set of the benchmark.
+QUERIES = {
+    "date_range": "select count(*), sum(order_total) from {t} where date_day between "
+                  "date'1996-06-03' and date'1996-09-06'",
+    "zone": "select count(*), sum(order_total) from {t} where zone_id = 1",
+    "status": "select count(*), sum(order_total) from {t} where order_status = 'DELIVERED'",
+    "zone_revenue": "select zone_id, order_status, count(*) as n, sum(order_total) as revenue "
+                    "from {t} group by zone_id, order_status order by revenue desc limit 20",
+}
+
+
+def durations(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """Every query once per layout, one after the other, in milliseconds."""
+    rows = []
+    for name, path in paths.items():
+        table = spark.read.parquet(path)
+        for query, sql in QUERIES.items():
+            start = time.perf_counter()
+            spark.sql(sql, t=table).write.format("noop").mode("overwrite").save()
+            rows.append((name, query, (time.perf_counter() - start) * 1000))
+    return spark.createDataFrame(rows, "layout string, query_name string, duration_ms double")
+
+
+def apply_winner(df: DataFrame, results: DataFrame, path: str, files: int) -> str:
+    """Rewrite a table in the layout that read least; refuses when no layout is fully measured."""
+    best = winner(results).first()
+    if best is None:
+        raise ValueError("every layout has a missing measurement")
+    LAYOUTS[best["layout"]](df, path, files)
+    return best["layout"]
