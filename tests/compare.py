@@ -1,6 +1,6 @@
 """Run registered queries on Spark and their SQL on DuckDB and compare whole results.
 
-Usage: python tests/compare.py [sf] [key prefix ...]
+Usage: python tests/compare.py [sf or folder] [key prefix ...]
 """
 
 from __future__ import annotations
@@ -91,7 +91,7 @@ def main() -> int:
     from tiffin.session import build_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.001"
     prefixes = tuple(sys.argv[2:])
-    root = DATA / f"sf{sf}"
+    root = Path(sf) if "/" in sf else DATA / f"sf{sf}"
     spark, con, sql = build_session(cores=8), connect(root), oracle_sql()
     bad = 0
     for key, fn in queries().items():

@@ -10,7 +10,10 @@ from tiffin.functions.text import match_key
 from tiffin.operators import quality
 from tiffin.operators.slices import expanded
 from tiffin.plans import events as ev
+from tiffin.plans import marts
 from tiffin.plans.demand import actual_daily, actual_hourly
+from tiffin.session import scratch
+from tiffin.sources import landing, tables
 from tiffin.sources.bronze import NOTES, Bronze
 
 
@@ -374,3 +377,33 @@ def q13(b: Bronze):
                       lambda: quality.unique(b.match_attempts(), ["match_id"]))])])
     return b.orders().agg(F.count(F.lit(1)).alias("n_orders")).select(
         F.lit("staging").alias("layer"), "n_orders")
+
+
+@query("q12_contract_enforced", "select * from m_fct_deliveries")
+def q12(b: Bronze):
+    """A mart written only because its names and types are those of its contract."""
+    from tiffin.catalog.models import matching
+    mart = marts.fct_deliveries(matching(b), b.shells())
+    path = scratch(b.spark, "fct_deliveries")
+    tables.overwrite(mart, marts.CONTRACTS["fct_deliveries"], path, "fct_deliveries")
+    return b.spark.read.schema(mart.schema).parquet(path)
+
+
+@query("q19_namespace_guard", "select c_custkey, c_name, 'b1' as _bronze_batch_id from customer")
+def q19(b: Bronze):
+    """Metadata is added only when no source column uses its prefix."""
+    source = b.raw("customer", "c_custkey", "c_name")
+    quality.free_namespace(source.columns)
+    return landing.with_metadata(source, "b1").select("c_custkey", "c_name", "_bronze_batch_id")
+
+
+@query("q23_landing_contract", """select cast(refund_id as varchar) as refund_id, refund_amount_raw,
+ cast(null as varchar) as _bronze_rescued, 'b1' as _bronze_batch_id from b_refunds""")
+def q23(b: Bronze):
+    """A landing table is all strings and carries its metadata, or it is refused."""
+    path = scratch(b.spark, "landing")
+    landing.export(b.refunds().select("refund_id", "refund_amount_raw"), path)
+    landed = landing.with_metadata(landing.read_csv(b.spark, path, ["refund_id",
+                                                                   "refund_amount_raw"]), "b1")
+    quality.landing_contract(landed, landing.METADATA)
+    return landed.drop("_bronze_ingested_at", "_bronze_source_file")

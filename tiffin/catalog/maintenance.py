@@ -313,8 +313,11 @@ def m11(b: Bronze):
     """Statistics of a table as the catalogue reports them after ANALYZE."""
     name = f"tiffin_stats_{uuid.uuid4().hex}"
     b.raw("customer").write.option("path", scratch(b.spark, "stats")).saveAsTable(name)
-    layout.column_statistics(b.spark, name)
-    rows = b.spark.sql(f"describe extended {name} c_nationkey")
+    try:
+        layout.column_statistics(b.spark, name)
+        rows = b.spark.sql(f"describe extended {name} c_nationkey")  # runs at once
+    finally:
+        b.spark.sql(f"drop table {name}")
     return rows.filter(F.col("info_name").isin("min", "max", "num_nulls")).select(
         F.lit("c_nationkey").alias("col_name"), "info_name", "info_value")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tiffin.catalog.oracle import draw, pick, view
+from tiffin.catalog.oracle import DOW_SQL, draw, pick, view
 from tiffin.catalog.registry import query
 from tiffin.functions.draws import md5_draw
 from tiffin.operators import allocate, slices
@@ -338,11 +338,51 @@ def planned(b: Bronze):
     return demand.planned_daily(spine, n_days, max(per_day, 1), md5_draw)
 
 
-@query("f27_demand_factors")
+_EVENTS = ", ".join(f"('{n}', {p}, {m}, {i})" for i, (n, p, m) in enumerate(demand.EVENTS))
+_HOURS = {k: "[" + ", ".join(v) + "]" for k, v in (("day", demand.HOUR_WEEKDAY),
+                                                   ("end", demand.HOUR_WEEKEND))}
+view("x_planned", f"""
+with days as (select cast(unnest(generate_series(d0, d1, interval 1 day)) as date) as order_date, d0,
+  n, greatest((select count(*) from orders) // n, 1) as per_day from (select
+   min(cast(o_orderdate as date)) as d0, max(cast(o_orderdate as date)) as d1,
+   cast(max(cast(o_orderdate as date)) - min(cast(o_orderdate as date)) + 1 as bigint) as n
+  from orders)),
+ ev as (select name, peak, cast(round(position * (n - 1)) as integer) as event_day
+  from (values {_EVENTS}) as e(name, position, peak, i), (select max(n) as n from days)
+  where i < greatest(1, round(n / 90.0 * 4))),
+ touched as (select event_day + off as day_index, product(1 + (peak - 1) * share) as m,
+  string_agg(name, ',' order by event_day) as names from ev,
+  (values (-1, 0.30), (0, 1.0), (1, 0.50)) as s(off, share) group by 1)
+select day_index, order_date, weekday, dow as dow_multiplier, m as event_multiplier, noise,
+ dow * m * noise as total_multiplier,
+ cast(greatest(1, round(per_day * (dow * m * noise))) as integer) as orders, names as event_names
+from (select cast(order_date - d0 as integer) as day_index, order_date, per_day,
+  cast(isodow(order_date) - 1 as integer) as weekday, {DOW_SQL}[isodow(order_date)] as dow,
+  coalesce(t.m, 1.0) as m, t.names,
+  exp(0.08 * sqrt(-2.0 * ln({draw(1, 'order_date')} / 1000000.0 + 1e-9))
+   * cos(2.0 * pi() * ({draw(2, 'order_date')} / 1000000.0))) as noise
+ from days left join touched t on t.day_index = cast(order_date - d0 as integer))""")
+
+_ROUNDED = ["dow_multiplier", "event_multiplier", "noise", "total_multiplier"]
+
+
+@query("f27_demand_factors", f"""select day_index, order_date, weekday, orders, event_names,
+ {', '.join(f'round({c}, 6) as {c}' for c in _ROUNDED)} from x_planned""")
 def f27(b: Bronze):
-    return planned(b)
-
-
-@query("f27_planned_hourly")
+    rows = planned(b)
+    for c in _ROUNDED:
+        rows = rows.withColumn(c, F.round(c, 6))
+    return rows
+
+
+@query("f27_planned_hourly", f"""
+select day_index, order_date, hour, cast(f + case when row_number() over (partition by day_index
+  order by r desc, hour) <= total - sum(f) over (partition by day_index) then 1 else 0 end
+  as integer) as orders
+from (select *, total * w // ws as f, total * w % ws as r from (select *, sum(w) over (
+   partition by day_index) as ws from (select day_index, order_date, h - 1 as hour,
+   cast(orders as hugeint) as total, cast((case when weekday >= 5 then {_HOURS['end']}
+    else {_HOURS['day']} end)[h] * 10000 as hugeint) as w
+  from x_planned, (select cast(unnest(generate_series(1, 24)) as integer) as h))))""")
 def f27_hourly(b: Bronze):
     return demand.planned_hourly(planned(b))

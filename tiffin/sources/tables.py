@@ -7,6 +7,7 @@ state visible, and a repeated ``(app, batch)`` is recognised and skipped.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,13 +29,15 @@ class VersionedTable:
         upsert key, so that a key never moves. None keeps one partition, for small tables."""
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self._part = F.lit("all") if part is None else part.cast("string")
-        self._writer(spark.createDataFrame([], _LOG), "log")
-
-    def _writer(self, rows: DataFrame, where: str) -> None:
-        rows.coalesce(1).write.mode("append").parquet(f"{self.path}/{where}")
 
     def log(self) -> DataFrame:
-        return self.spark.read.schema(_LOG).parquet(f"{self.path}/log")
+        """Commits so far; empty before the first one."""
+        try:
+            return self.spark.read.schema(_LOG).parquet(f"{self.path}/log")
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" not in str(exc):
+                raise
+            return self.spark.createDataFrame([], _LOG)
 
     def visible(self) -> DataFrame:
         """(partition, version) pairs that readers see: from the last replacing version on."""
@@ -85,9 +88,11 @@ class VersionedTable:
         written = (self.spark.read.schema(out.schema).parquet(self._folder(version))
                    .select("_part").distinct())
         touched = written if cleared is None else written.unionByName(cleared).distinct()
-        self._writer(touched.select("_part", F.lit(version).cast("bigint").alias("_version"),
-                                    F.lit(replaces).alias("_replaces"), F.lit(app).alias("_app"),
-                                    F.lit(batch).cast("bigint").alias("_batch")), "log")
+        entry = touched.select("_part", F.lit(version).cast("bigint").alias("_version"),
+                               F.lit(replaces).alias("_replaces"), F.lit(app).alias("_app"),
+                               F.lit(batch).cast("bigint").alias("_batch"))
+        # A row per touched partition, in one file, so that the commit appears at once.
+        entry.coalesce(1).write.mode("append").parquet(f"{self.path}/log")
 
     def append(self, rows: DataFrame, app: str = "append", batch: int | None = None) -> bool:
         """Add rows; a batch that was already added is skipped. Returns whether it was written."""

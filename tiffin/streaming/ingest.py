@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -41,7 +42,7 @@ class BronzeStream:
         """Committed rows; empty before the first run."""
         try:
             return self.spark.read.schema(self.schema()).parquet(self.path)
-        except Exception as exc:  # the path does not exist yet
+        except AnalysisException as exc:  # nothing was ingested yet
             if "PATH_NOT_FOUND" not in str(exc):
                 raise
             return self.spark.createDataFrame([], self.schema())
