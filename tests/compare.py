@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 import decimal
+import os
 import sys
 import time
 from pathlib import Path
@@ -16,6 +17,7 @@ import duckdb
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 DATA = Path("/root/testdata")
+EXACT = bool(os.environ.get("EXACT"))  # compare doubles bit by bit
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
@@ -36,7 +38,7 @@ def plain(value):
     if isinstance(value, (int, decimal.Decimal)):
         return f"{decimal.Decimal(value).normalize():f}" if value else "0"
     if isinstance(value, float):
-        return f"{value:.9g}"
+        return repr(value) if EXACT else f"{value:.9g}"
     if isinstance(value, dt.datetime):
         return value.replace(tzinfo=None).isoformat()
     if isinstance(value, (list, tuple)):

@@ -20,7 +20,8 @@ def partitioned(df: DataFrame, path: str, by: str) -> None:
 
 def clustered(df: DataFrame, path: str, cols: list[str], files: int) -> None:
     """Range-clustered files, sorted inside, so that min/max skip most of them. A salt after the
-    cluster columns lets a value that holds a large share spread over several files."""
+    cluster columns lets a value that holds a large share spread over several files; it is a hash of
+    the row, so the table should have a unique column."""
     salt = F.xxhash64(*df.columns)
     (df.repartitionByRange(files, *[F.col(c) for c in cols], salt).sortWithinPartitions(*cols)
      .write.mode("overwrite").parquet(path))

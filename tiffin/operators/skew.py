@@ -16,6 +16,7 @@ SALTS = 64
 
 
 def _salt(df: DataFrame, salts: int) -> Column:
+    """Rows must carry a unique column; exact copies of a whole row would share one salt."""
     return F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
 
 
