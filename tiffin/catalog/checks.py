@@ -6,9 +6,7 @@ from pyspark.sql import functions as F
 
 from tiffin.catalog.models import stg_orders, stg_refunds
 from tiffin.catalog.registry import query
-from tiffin.functions.text import match_key
 from tiffin.operators import quality
-from tiffin.operators.slices import expanded
 from tiffin.plans import events as ev
 from tiffin.plans import marts
 from tiffin.plans.demand import actual_daily, actual_hourly
@@ -27,7 +25,8 @@ def q01_broken(b: Bronze):
     return quality.not_null(b.courier_shifts(), "logout_at").select("shift_id")
 
 
-@query("q02_unique_clean", "select match_id, count(*) as n_rows from b_attempts group by 1 having count(*) > 1")
+@query("q02_unique_clean", """select match_id, count(*) as n_rows from b_attempts
+ group by 1 having count(*) > 1""")
 def q02(b: Bronze):
     return quality.unique(b.match_attempts(), ["match_id"])
 

@@ -7,12 +7,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from tiffin.catalog.models import fct_orders
-from tiffin.catalog.oracle import draw, view
+from tiffin.catalog.oracle import draw
 from tiffin.catalog.registry import query
 from tiffin.catalog.relational import order_facts
 from tiffin.functions.draws import md5_draw
 from tiffin.operators import history, layout
-from tiffin.plans import events as ev
 from tiffin.plans import finance, marts, reviews
 from tiffin.session import scratch
 from tiffin.sources import landing, tables
@@ -304,11 +303,11 @@ def m13(b: Bronze):
 
 
 @query("m11_column_statistics", """
-select 'n_nationkey' as col_name, 'min' as info_name, cast(min(c_nationkey) as varchar) as info_value
+select 'c_nationkey' as col_name, 'min' as info_name, cast(min(c_nationkey) as varchar) as info_value
  from customer
-union all select 'n_nationkey', 'max', cast(max(c_nationkey) as varchar) from customer
-union all select 'n_nationkey', 'num_nulls', cast(count(*) - count(c_nationkey) as varchar)
- from customer""".replace("n_nationkey", "c_nationkey").replace("cc_", "c_"))
+union all select 'c_nationkey', 'max', cast(max(c_nationkey) as varchar) from customer
+union all select 'c_nationkey', 'num_nulls', cast(count(*) - count(c_nationkey) as varchar)
+ from customer""")
 def m11(b: Bronze):
     """Statistics of a table as the catalogue reports them after ANALYZE."""
     name = f"tiffin_stats_{uuid.uuid4().hex}"

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tiffin.catalog.models import economics, fct_orders, matching, stg_orders, stg_refunds
-from tiffin.catalog.oracle import draw, key, view
+from tiffin.catalog.models import economics, fct_orders, matching
+from tiffin.catalog.oracle import draw, view
 from tiffin.catalog.registry import query
-from tiffin.catalog.synthesis import customer_weights, made_customers
+from tiffin.catalog.synthesis import made_customers
 from tiffin.functions.clock import seconds_between
 from tiffin.functions.draws import by_threshold, md5_draw
-from tiffin.functions.keys import surrogate_key
 from tiffin.functions.text import match_key
-from tiffin.operators import allocate, asof, layout, quality, skew, slices, vectors
+from tiffin.operators import asof, layout, quality, skew, slices, vectors
 from tiffin.operators.islands import capped_shifts, islands, median_length, overlap_flags
 from tiffin.plans import events as ev
 from tiffin.plans import finance, staging
@@ -264,11 +263,10 @@ def j14(b: Bronze):
                    prompt_version="v1")
 
 
-@query("j15_actual_and_expected", """select sum(case when kind = 'CAPTURE' then amount_cents end)
- as captured, (select cast(sum(cast(order_total * 100 as bigint)) as bigint) from b_payments p
+@query("j15_actual_and_expected", """select
+ cast(sum(case when kind = 'CAPTURE' then amount_cents end) as bigint) as captured, (select cast(sum(cast(order_total * 100 as bigint)) as bigint) from b_payments p
   join b_orders o on o.order_id = p.order_id where p.status = 'SUCCESS') as expected
-from b_movements where status = 'SUCCEEDED'""".replace(
-    "select sum(case", "select cast(sum(case").replace("amount_cents end)", "amount_cents end) as bigint)"))
+from b_movements where status = 'SUCCEEDED'""")
 def j15(b: Bronze):
     """Two one-row results side by side; the second is a scalar subquery."""
     expected = b.payments().filter("status = 'SUCCESS'").agg(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +45,3 @@ def wall_clock_hours(start: Column, end: Column, zone: str) -> Column:
 def elapsed_hours(start: Column, end: Column) -> Column:
     return seconds_between(start, end) / 3600.0
 
-
-def days(start: date, count: int) -> list[date]:
-    return [date.fromordinal(start.toordinal() + i) for i in range(count)]
