@@ -357,7 +357,9 @@ def digests(docs: DataFrame) -> DataFrame:
     def listed(name: str):
         return F.array_join(F.transform(name, lambda s: F.concat_ws(
             ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-    counts = [F.size(F.filter("base_spans", lambda s, k=k: s["kind"] == k)).cast("long")
-              .alias(f"n_{k}") for k in KINDS]
+
+    def count(kind: str):
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long")
+    counts = [count(k).alias(f"n_{k}") for k in KINDS]
     return tagged.select("doc_id", *counts, F.sha2(listed("base_spans"), 256).alias("base_sha256"),
                          listed("spans").alias("spans"))
