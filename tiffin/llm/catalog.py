@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tiffin.llm import bpe, pii, toxicity
+from tiffin.llm import bpe, jaccard, pii, toxicity
 from tiffin.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,32 @@ def query(key: str, sql: str | None = None):
     return add
 
 
+WORDS_SQL = """
+w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+        x -> x <> '') AS words FROM documents)"""
+
+
+def jaccard_sql(n: int, num: int, den: int) -> str:
+    gram = " || chr(1) || ".join(f"words[i + {k}]" for k in range(n))
+    return f"""WITH RECURSIVE {WORDS_SQL.strip()},
+g AS (SELECT doc_id, CASE WHEN len(words) >= {n}
+        THEN list_distinct([{gram} FOR i IN range(1, len(words) - {n - 2})])
+        WHEN len(words) > 0 THEN [array_to_string(words, chr(1))] ELSE [] END AS grams FROM w),
+f AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM g),
+e AS (SELECT x.doc_id AS a, y.doc_id AS b FROM f x JOIN f y ON x.gram = y.gram
+      GROUP BY x.doc_id, y.doc_id, x.n, y.n
+      HAVING {den} * count(*) >= {num} * (x.n + y.n - count(*))),
+r AS (SELECT doc_id, doc_id AS c FROM g UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.c = e.a)
+SELECT g.doc_id, CAST(len(g.grams) AS BIGINT) AS n_shingles, m.c AS component_id
+FROM g JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id) m ON g.doc_id = m.doc_id"""
+
+
+@query("op2_ngram_jaccard", jaccard_sql(3, 90, 100))
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
 @query("op5_pii")
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
