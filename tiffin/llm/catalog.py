@@ -28,7 +28,7 @@ def query(key: str, sql: str | None = None):
 WORDS_SQL = """
 w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
-        x -> x <> '') AS words FROM documents)"""
+        lambda x: x <> '') AS words FROM documents)"""
 
 
 def jaccard_sql(n: int, num: int, den: int) -> str:
