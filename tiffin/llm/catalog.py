@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tiffin.llm import bpe, jaccard, pii, toxicity
+from tiffin.llm import bpe, fmindex, jaccard, pii, toxicity
 from tiffin.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,37 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
 
 
+OP4_SQL = """WITH lowered AS (
+  SELECT doc_id AS id, text, 'd' AS kind FROM documents
+  UNION ALL SELECT item_id, text, 'i' FROM benchmark),
+w AS (SELECT id, kind, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS words FROM lowered),
+l AS (SELECT id, kind, words, len(words) AS n FROM w),
+p AS (SELECT id AS item, unnest([array_to_string(words[i:i + 12], ' ')
+        FOR i IN range(1, greatest(n - 11, 2))]) AS phrase, least(n, 13) AS size
+      FROM l WHERE kind = 'i' AND n > 0),
+s AS (SELECT DISTINCT size FROM p),
+d AS (SELECT id, size, unnest(range(1, n - size + 2)) AS i, words FROM l, s
+      WHERE kind = 'd' AND n >= size),
+h AS (SELECT d.id, p.item, d.i, p.size FROM d JOIN p
+      ON p.size = d.size AND p.phrase = array_to_string(d.words[d.i:d.i + d.size - 1], ' ')),
+hits AS (SELECT id, count(DISTINCT k) AS n_hit
+         FROM (SELECT id, unnest(range(i, i + size)) AS k FROM h) GROUP BY id),
+found AS (SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT id, CAST(item AS VARCHAR) AS item FROM h) GROUP BY id)
+SELECT l.id AS doc_id, CAST(l.n AS BIGINT) AS n_words,
+  CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= l.n AS contaminated
+FROM l LEFT JOIN hits ON l.id = hits.id LEFT JOIN found ON l.id = found.id WHERE kind = 'd'"""
+
+
+@query("op4_fm_decontamination", OP4_SQL)
+def op4_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fmindex.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op5_pii")
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))

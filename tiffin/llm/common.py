@@ -96,11 +96,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    if n:
-        out[0] = 1
-    return np.multiply.accumulate(out)
+    """The first ``n`` powers modulo 2 ** 64; kept for the next call up to twice a slice."""
+    known = _POWERS.get(int(base))
+    if known is None or len(known) < n:
+        known = np.full(max(n, 1), base, dtype=np.uint64)
+        known[0] = 1
+        known = np.multiply.accumulate(known)
+        if n <= 2 * SLICE_BYTES:
+            _POWERS[int(base)] = known
+    return known[:n]
 
 
 class Words:
