@@ -274,8 +274,8 @@ def held_out(doc_id) -> F.Column:
 
 
 def classify(docs: DataFrame, corpus: DataFrame, labels: DataFrame,
-             sample: int = SAMPLE_ROWS) -> DataFrame:
-    """Add ``score`` to ``docs``; the character model is counted and the classifier fitted on
+             sample: int = SAMPLE_ROWS, out: str = "score") -> DataFrame:
+    """Add the score to ``docs``; the character model is counted and the classifier fitted on
     ``corpus`` (doc_id, text) and ``labels`` (doc_id, toxic), without the held-out fifth."""
     model = log_model([(r.code, r.n) for r in count_trigrams(corpus).collect()])
     marked = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)
@@ -285,7 +285,7 @@ def classify(docs: DataFrame, corpus: DataFrame, labels: DataFrame,
     # The sample has at most `sample` rows of two numbers, which bounds the broadcast.
     rows = materialise(corpus.select("doc_id", "text").join(F.broadcast(marked), "doc_id")
                        .select("text", "toxic"), "toxic-sample")
-    return score(docs, model, *fit(rows, model))
+    return score(docs, model, *fit(rows, model), out=out)
 
 
 def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
