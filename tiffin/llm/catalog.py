@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tiffin.llm import bpe, fmindex, jaccard, pii, toxicity
+from tiffin.llm import bpe, fmindex, jaccard, pii, suffixes, toxicity
 from tiffin.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,11 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
 
 
+@query("op3_suffix_dedup")
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(table(spark, sf_dir, "documents"), length=100)
+
+
 OP4_SQL = """WITH lowered AS (
   SELECT doc_id AS id, text, 'd' AS kind FROM documents
   UNION ALL SELECT item_id, text, 'i' FROM benchmark),
