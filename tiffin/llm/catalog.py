@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tiffin.llm import bpe, fmindex, jaccard, pii, suffixes, toxicity
+from tiffin.llm import bpe, divergence, divergence_sql, fmindex, jaccard, pii, suffixes, toxicity
 from tiffin.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,6 +92,11 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
 
 
+@query("op6_divergence", divergence_sql.sql())
+def op6_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.verdicts(table(spark, sf_dir, "documents"))
+
+
 @query("op9_toxicity")
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
