@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tiffin.llm import bpe, divergence, divergence_sql, fmindex, jaccard, pii, suffixes, toxicity
+from tiffin.llm import (bpe, divergence, divergence_sql, fmindex, jaccard, pii, suffixes, toxicity,
+                        windows)
 from tiffin.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +98,11 @@ def op6_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.verdicts(table(spark, sf_dir, "documents"))
 
 
+@query("op7_compact_windows")
+def op7_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.digests(table(spark, sf_dir, "documents"), length=50)
+
+
 @query("op9_toxicity")
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -43,7 +43,7 @@ SLICE = 1_000_000
 NO_ID = -(1 << 63)
 
 
-def _slide(values: np.ndarray, width: int, fold) -> np.ndarray:
+def slide(values: np.ndarray, width: int, fold) -> np.ndarray:
     """``fold`` over each run of ``width`` values, by doubling; shorter by width - 1."""
     done = 1
     now = values
@@ -70,13 +70,13 @@ def anchors(raw: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.n
                                                                                - GRAM + 1])
     short = (gram >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
     width = length - GRAM + 1
-    low = _slide(short, width, np.minimum)  # one per string of `length` bytes
+    low = slide(short, width, np.minimum)  # one per string of `length` bytes
     # Strings that would cross the end of a text do not count.
     for e in ends[:-1].tolist():
         low[max(0, e - length + 1):e] = 0
     padded = np.zeros(len(low) + 2 * (width - 1), np.uint32)
     padded[width - 1:width - 1 + len(low)] = low
-    place = np.flatnonzero(short <= _slide(padded, width, np.maximum))
+    place = np.flatnonzero(short <= slide(padded, width, np.maximum))
     text = np.searchsorted(ends, place, side="right")
     return (np.array(chosen, np.int64)[text], place - (ends - sizes)[text], gram[place])
 
