@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tiffin.llm import (bpe, divergence, divergence_sql, fmindex, jaccard, pii, suffixes, toxicity,
-                        windows)
+from tiffin.llm import (bpe, chat, divergence, divergence_sql, fmindex, jaccard, pii, suffixes,
+                        toxicity, windows)
 from tiffin.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,6 +103,30 @@ def op7_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.digests(table(spark, sf_dir, "documents"), length=50)
 
 
+OP8_SQL = r"""WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+m AS (SELECT *, length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g'))
+    + length(role) + length(regexp_replace(role, '[^\\#<:]', '', 'g')) + 14 AS marked FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+    AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), ''))
+    AS loss_sha256, CAST(sum(marked) AS BIGINT) AS formatted_chars
+FROM m GROUP BY conv_id"""
+
+
+@query("op8_chat_rendering", OP8_SQL)
+def op8_chat_rendering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "\\### Assistant: </turn> ok"
+    one = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)],
+                                "conv_id long, turn long, role string, text string")
+    return chat.digests(rows.unionByName(one))
+
+
 @query("op9_toxicity")
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
