@@ -7,14 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tiffin.llm import (bpe, chat, divergence, divergence_sql, fmindex, jaccard, pii, suffixes,
-                        toxicity, windows)
+from tiffin.llm import (bpe, chat, divergence, divergence_sql, fmindex, jaccard, pii, separators,
+                        suffixes, toxicity, windows)
 from tiffin.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def query(key: str, sql: str | None = None):
@@ -26,6 +27,12 @@ def query(key: str, sql: str | None = None):
     return add
 
 
+@query("op1_separator_scan")
+def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return separators.token_counts(table(spark, sf_dir, "documents"), BYTE_RANKS,
+                                   public_tokenizers.PATTERN)
+
+
 WORDS_SQL = """
 w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
