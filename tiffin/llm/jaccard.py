@@ -49,9 +49,10 @@ def shingle_sets(texts: list, n: int) -> list[np.ndarray]:
     """Sorted distinct n-gram hashes of each text."""
     words = Words(texts, NOT_SPACE)
     h, bound = words.hash, words.bound
-    gram = np.zeros(max(0, len(h) - n + 1), np.uint64)
+    size = max(0, len(h) - n + 1)
+    gram = np.zeros(size, np.uint64)
     for k in range(n):
-        gram += h[k:len(h) - n + 1 + k] * MULTIPLIERS[k]
+        gram += h[k:k + size] * MULTIPLIERS[k]
     gram = mix(gram)
     out = []
     for lo, hi in zip(bound[:-1].tolist(), bound[1:].tolist(), strict=True):
