@@ -1,4 +1,5 @@
 import bisect
+import itertools
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -29,18 +30,34 @@ def test_zero_weights_fail(spark):
         split(spark, "10.00", ["0", "0"])
 
 
+def test_negative_totals_and_fine_weights(spark):
+    assert split(spark, "-1.00", ["1", "1", "1"]) == [Decimal("-0.34"), Decimal("-0.33"),
+                                                      Decimal("-0.33")]
+    rows = [("g", Decimal("1.00"), Decimal("0.00001"), i) for i in range(3)]
+    df = spark.createDataFrame(rows, "g string, t decimal(18,2), w decimal(18,5), i int")
+    parts = allocate.largest_remainder(df, ["g"], "t", "w", "i", "part").collect()
+    assert sum(r["part"] for r in parts) == Decimal("1.00")
+
+
 def test_weighted_pick_equals_inverse_cdf(spark):
     weights = [5, 0, 1, 300, 44, 2]
     table = spark.createDataFrame(list(enumerate(weights)), "id long, w long")
-    buckets = 1000
-    got = {r["b"]: r["id"] for r in allocate.bucket_table(table, "id", "w", "b", buckets).collect()}
-    cum, acc = [], 0
-    for w in weights:
-        acc += w
-        cum.append(acc)
-    want = {b: bisect.bisect_left([c * buckets for c in cum], b * acc) for b in range(buckets)}
-    want[0] = 0
-    assert got == want
+    cum = list(itertools.accumulate(weights))
+    draws = [0, 1, 2**48 - 1] + [2**48 * k // 997 for k in range(997)]
+    rows = spark.createDataFrame([(d,) for d in draws], "d long")
+    got = {r["d"]: r["id"] for r in allocate.weighted_pick(rows, F.col("d"), table, "id", "w")
+           .collect()}
+    assert got == {d: bisect.bisect_right(cum, d * cum[-1] >> 48) for d in draws}
+
+
+def test_more_than_a_million_keys_keep_their_weight(spark):
+    n = 1_200_000
+    keys = spark.range(n).select("id", F.lit(1).alias("w"))
+    rows = spark.range(n).select((F.col("id").cast("decimal(38,0)") * F.lit(2**48)
+                                  / F.lit(n) + 1).cast("long").alias("d"))
+    picked = allocate.weighted_pick(rows, F.col("d"), keys, "id", "w")
+    got = picked.agg(F.count("*").alias("n"), F.countDistinct("id").alias("k")).first()
+    assert (got["n"], got["k"]) == (n, n)
 
 
 def test_half_open_boundaries(spark):
@@ -82,6 +99,19 @@ def test_a_tie_has_one_winner(spark):
     assert resolve(spark, card, [(1, 5, 7, d(2026, 1, 1))]) == {1: (40, 2)}
 
 
+@pytest.mark.parametrize("scope, key", [("RESTAURANT", "5"), ("CITY", "7"), ("GLOBAL", None)])
+def test_overlapping_windows_give_one_row(spark, scope, key):
+    d = date
+    card = [(2, scope, key, 20, d(2020, 1, 1), None),
+            (1, scope, key, 10, d(2022, 1, 1), d(2023, 1, 1)),
+            (3, scope, key, 30, d(2019, 1, 1), d(2021, 1, 1))]
+    facts = [(1, 5, 7, d(2022, 6, 1)), (2, 5, 7, d(2020, 6, 1)), (3, 5, 7, d(2019, 6, 1)),
+             (4, 5, 7, d(2024, 1, 1))]
+    df = spark.createDataFrame(facts, "o int, r long, c long, d date")
+    got = asof.by_precedence(df, spark.createDataFrame(card, CARD), SCOPES, "d", "fee", "id")
+    assert sorted((r["o"], r["fee"]) for r in got.collect()) == [(1, 10), (2, 20), (3, 30), (4, 20)]
+
+
 def test_no_nested_loop_for_precedence(spark):
     df = spark.createDataFrame([(1, 5, 7, date(2026, 1, 1))], "o int, r long, c long, d date")
     rates = spark.createDataFrame([(1, "GLOBAL", None, 1, date(2020, 1, 1), None)], CARD)

@@ -144,3 +144,24 @@ def test_median_is_the_lower_middle(spark):
         from values (1), (1), (5), (9) as t(s) union all
         select timestamp'2024-01-01 00:00:00', null""")
     assert df.limit(1).select(median_length(df)).first()[0] == 1
+
+
+def test_rows_without_a_group_stay(spark):
+    """As in a SQL window, NULL is a group of its own."""
+    rows = [(i, None if i % 3 == 0 else f"k{i % 2}", i % 7) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, key string, at long")
+
+    def by_key(got, column):
+        return {r["id"]: r[column] for r in got.collect()}
+    order = {}
+    for i, key, at in sorted(rows, key=lambda r: (r[2], r[0])):
+        order.setdefault(key, []).append(i)
+    rank = {i: n for ids in order.values() for n, i in enumerate(ids)}
+    before = {i: ids[n - 1] if n else None for ids in order.values() for n, i in enumerate(ids)}
+    assert by_key(slices.ranked(df, ["key"], ["at", "id"], "n"), "n") == rank
+    placed = slices.sliced(df, ["key", "at", "id"])
+    assert by_key(slices.previous(placed, ["key"], "id", "p"), "p") == before
+    total = by_key(slices.running(placed, ["key"], "id", "sum", "s", True), "s")
+    assert total == {i: sum(ids[:n + 1]) for ids in order.values() for n, i in enumerate(ids)}
+    blocks = by_key(slices.block_ranked(df, ["key"], "id", "b", block=10), "b")
+    assert blocks == {i: n for ids in order.values() for n, i in enumerate(sorted(ids))}

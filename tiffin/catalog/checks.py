@@ -93,9 +93,10 @@ def q05_broken(b: Bronze):
     return quality.one_accepted_match(b.order_heads(), damaged)
 
 
-_SUBTOTAL = """select o.order_id, o.subtotal, s as computed_subtotal from {orders} o
- join (select order_id, cast(sum(line_total) as decimal(18,2)) as s from b_lines group by 1) l
-  on l.order_id = o.order_id where o.subtotal <> s"""
+_SUBTOTAL = """select o.order_id, o.subtotal, cast(coalesce(s, 0) as decimal(18,2))
+ as computed_subtotal from {orders} o
+ left join (select order_id, cast(sum(line_total) as decimal(18,2)) as s from b_lines group by 1) l
+  on l.order_id = o.order_id where o.subtotal is distinct from coalesce(s, 0)"""
 
 
 @query("q06_subtotal_clean", _SUBTOTAL.format(orders="b_orders"))

@@ -25,7 +25,9 @@ def assemble(sql: str) -> str:
     visit(sql)
     if not ordered:
         return sql
-    ctes = ",\n".join(f"{n} as ({VIEWS[n]})" for n in ordered)
+    # Made tables feed several branches; computed once, they stay affordable.
+    ctes = ",\n".join(f"{n} as {'materialized ' if n[0] == 'x' else ''}({VIEWS[n]})"
+                      for n in ordered)
     return f"with {ctes}\nselect * from ({sql}) as q"
 
 
@@ -35,6 +37,11 @@ def draw(salt: int, *exprs: str) -> str:
     return f"(cast('0x' || substr(md5(concat_ws('|', {parts})), 1, 8) as bigint) % 1000000)"
 
 
+def wide_draw(salt: int, *exprs: str) -> str:
+    parts = ", ".join([f"'{salt}'"] + [f"cast({e} as varchar)" for e in exprs])
+    return f"cast('0x' || substr(md5(concat_ws('|', {parts})), 1, 12) as hugeint)"
+
+
 def pick(values: list[str], index: str) -> str:
     items = ", ".join(f"'{v}'" for v in values)
     return f"([{items}])[cast(({index}) % {len(values)} as bigint) + 1]"

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tiffin.catalog.oracle import DOW_SQL, draw, pick, view
+from tiffin.catalog.oracle import DOW_SQL, draw, pick, view, wide_draw
 from tiffin.catalog.registry import query
-from tiffin.functions.draws import md5_draw
+from tiffin.functions.draws import md5_draw, md5_wide
 from tiffin.operators import allocate, slices
 from tiffin.plans import demand, synth
 from tiffin.plans.demand import actual_hourly
@@ -39,13 +39,15 @@ def shell(b: Bronze):
 
 
 def ranges_sql(table: str, key: str) -> str:
-    """Closed draw ranges per key."""
-    return f"""select {key}, case when c - w = 0 then 0 else (c - w) * 1000000 // t + 1 end as lo,
- least(c * 1000000 // t, 999999) as hi
-from (select {key}, weight as w, sum(weight) over (order by {key}) as c,
-  sum(weight) over () as t from {table})
-where case when c - w = 0 then 0 else (c - w) * 1000000 // t + 1 end
- <= least(c * 1000000 // t, 999999)"""
+    """Half-open stretches of the cumulative weight per key."""
+    return f"""select {key}, sum(weight) over (order by {key}) - weight as lo,
+ sum(weight) over (order by {key}) as hi, sum(weight) over () as t from {table} where weight > 0"""
+
+
+def point(salt: int, key: str, ranges: str) -> str:
+    """Where a wide draw falls on the weight axis."""
+    return (f"{wide_draw(salt, key)} * (select cast(max(t) as hugeint) from {ranges}) "
+            "// 281474976710656")
 
 
 view("x_restaurant_weights", """select s_suppkey as restaurant_id,
@@ -69,9 +71,12 @@ select order_id, s.customer_id, s.restaurant_id, cast(c_nationkey as bigint) as
  case when {draw(106, 'order_id')} < 250000 then {pick(NOTES, draw(107, 'order_id'))} end
   as delivery_notes, day_index, hour
 from (select o.*, r.restaurant_id, c.customer_id from
-  (select *, order_offset + unnest(generate_series(0, orders - 1)) + 1 as order_id from x_offsets) o
-  join x_restaurant_ranges r on {draw(102, 'o.order_id')} between r.lo and r.hi
-  join x_customer_ranges c on {draw(103, 'o.order_id')} between c.lo and c.hi) s
+  (select *, {point(102, 'order_id', 'x_restaurant_ranges')} as p,
+    {point(103, 'order_id', 'x_customer_ranges')} as q from
+   (select *, order_offset + unnest(generate_series(0, orders - 1)) + 1 as order_id
+    from x_offsets)) o
+  join x_restaurant_ranges r on o.p >= r.lo and o.p < r.hi
+  join x_customer_ranges c on o.q >= c.lo and o.q < c.hi) s
 join customer on c_custkey = s.customer_id""")
 view("x_menu", """select restaurant_id, menu_item_id, price,
  row_number() over (partition by restaurant_id order by menu_item_id) - 1 as item_idx,
@@ -175,7 +180,8 @@ select customer_id, printf('C-%07d', customer_id) as customer_ref,
 from (select c_custkey as customer_id, z.*, {pick(synth.GIVEN, draw(3, 'c_custkey'))} as given,
   {pick(synth.FAMILY, draw(4, 'c_custkey'))} as family,
   {pick(synth.DOMAINS, draw(5, 'c_custkey'))} as domain
- from customer join x_zone_ranges r on {draw(2, 'c_custkey')} between r.lo and r.hi
+ from (select *, {point(2, 'c_custkey', 'x_zone_ranges')} as p from customer) u
+ join x_zone_ranges r on u.p >= r.lo and u.p < r.hi
  join b_zones z on z.zone_id = r.zone_id)"""
 
 
@@ -236,18 +242,20 @@ def j05(b: Bronze):
 
 
 @query("j06_threshold_join", f"""select c_custkey as customer_id, r.zone_id
- from customer join x_zone_ranges r on {draw(2, 'c_custkey')} between r.lo and r.hi""")
+ from (select *, {point(2, 'c_custkey', 'x_zone_ranges')} as p from customer) u
+ join x_zone_ranges r on u.p >= r.lo and u.p < r.hi""")
 def j06(b: Bronze):
     ids = b.raw("customer").select(F.col("c_custkey").alias("customer_id"))
-    return allocate.weighted_pick(ids, md5_draw(2, "customer_id"), zone_weights(b), "zone_id",
+    return allocate.weighted_pick(ids, md5_wide(2, "customer_id"), zone_weights(b), "zone_id",
                                   "n_zone")
 
 
-@query("j07_weighted_pick", f"""select o_orderkey as order_id, r.restaurant_id from orders
- join x_restaurant_ranges r on {draw(102, 'o_orderkey')} between r.lo and r.hi""")
+@query("j07_weighted_pick", f"""select o_orderkey as order_id, r.restaurant_id
+from (select *, {point(102, 'o_orderkey', 'x_restaurant_ranges')} as p from orders) o
+ join x_restaurant_ranges r on o.p >= r.lo and o.p < r.hi""")
 def j07(b: Bronze):
     ids = b.raw("orders").select(F.col("o_orderkey").alias("order_id"))
-    return allocate.weighted_pick(ids, md5_draw(102, "order_id"), restaurant_weights(b),
+    return allocate.weighted_pick(ids, md5_wide(102, "order_id"), restaurant_weights(b),
                                   "restaurant_id", "weight")
 
 

@@ -26,6 +26,24 @@ def md5_draw(salt: int, *cols: Column | str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % F.lit(BUCKETS)
 
 
+# A weighted pick needs finer draws than BUCKETS: there may be more keys than that.
+WIDE_BITS = 48
+
+
+def xx_wide(salt: int, *cols: Column | str) -> Column:
+    parts = [F.col(c) if isinstance(c, str) else c for c in cols]
+    return F.shiftrightunsigned(F.xxhash64(*parts, F.lit(salt)), 64 - WIDE_BITS)
+
+
+def md5_wide(salt: int, *cols: Column | str) -> Column:
+    parts = [F.col(c) if isinstance(c, str) else c for c in cols]
+    text = F.concat_ws("|", F.lit(str(salt)), *[p.cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, WIDE_BITS // 4), 16, 10).cast("bigint")
+
+
+WIDE: dict[Draw, Draw] = {xx_draw: xx_wide, md5_draw: md5_wide}
+
+
 def uniform(bucket: Column) -> Column:
     return bucket / F.lit(float(BUCKETS))
 

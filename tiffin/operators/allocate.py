@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tiffin.functions.draws import BUCKETS
+from tiffin.functions.draws import WIDE_BITS
 from tiffin.operators.skew import attach
-from tiffin.operators.slices import POS, SLICE, ranked, running, sliced
+from tiffin.operators.slices import POS, SLICE, expanded, ranked, running, sliced
+from tiffin.session import materialise
 
 UNITS = "decimal(38,0)"
 
@@ -16,25 +18,37 @@ def largest_remainder(df: DataFrame, group: list[str], total: str, weight: str,
                       out: str, places: int = 2) -> DataFrame:
     """Split ``total`` over the rows of each group; the parts sum to it exactly.
 
-    ``weight`` is a whole number or a decimal, ``pos`` breaks ties and is unique in the group. The
-    arithmetic is on whole units, so nothing is rounded; a group whose weights sum to zero fails.
+    ``weight`` is a number with up to ten digits after the point, ``pos`` breaks ties and
+    is unique in the group. The arithmetic is on whole units, so nothing is rounded; a group whose
+    weights sum to zero fails. The size of a negative total is split and the sign given back.
     """
     scale = 10 ** places
-    weighed = attach(df, group, _wsum=("sum", F.col(weight).cast("decimal(18,4)")))
+    kind = df.schema[weight].dataType
+    fraction = isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType)
+    digits = 10 if fraction else min(getattr(kind, "scale", 0), 10)
+    wide = f"decimal({18 + digits},{digits})"
+    weighed = attach(df, group, _wsum=("sum", F.col(weight).cast(wide)))
+
+    def whole(c: str, to: str) -> Column:
+        return (F.col(c) * F.lit(10 ** digits).cast(f"decimal({digits + 1},0)")).cast(to)
     units = (weighed
-             .withColumn("_total", (F.col(total).cast("decimal(18,4)") * scale).cast("decimal(20,0)"))
-             .withColumn("_w", (F.col(weight).cast("decimal(18,4)") * 10_000).cast("decimal(18,0)"))
-             .withColumn("_ws", (F.col("_wsum") * 10_000).cast("decimal(24,0)")))
+             .withColumn("_signed", (F.col(total).cast("decimal(18,4)") * scale)
+                         .cast("decimal(20,0)"))
+             .withColumn("_total", F.abs("_signed"))
+             .withColumn("_weight", F.col(weight).cast(wide))
+             .withColumn("_w", whole("_weight", "decimal(28,0)"))
+             .withColumn("_ws", whole("_wsum", "decimal(34,0)")))
     checked = F.when(F.col("_ws") == 0, F.raise_error(F.lit("weights sum to zero"))) \
         .otherwise(F.col("_ws"))
     product = (F.col("_total") * F.col("_w")).cast(UNITS)
     split = (units.withColumn("_left", (product % checked).cast(UNITS))
              .withColumn("_floor", ((product - F.col("_left")) / F.col("_ws")).cast("decimal(20,0)"))
              .withColumn("_by", -F.col("_left"))
-             .select(*df.columns, "_total", "_floor", "_by"))
+             .select(*df.columns, "_signed", "_total", "_floor", "_by"))
     placed = ranked(split, group, ["_by", pos], "_rank", sums={"_given": "_floor"})
     short = (F.col("_total") - F.col("_given")).cast("bigint")
-    part = F.col("_floor") + F.when(F.col("_rank") < short, 1).otherwise(0)
+    size = F.col("_floor") + F.when(F.col("_rank") < short, 1).otherwise(0)
+    part = F.when(F.col("_signed") < 0, -size).otherwise(size)
     return placed.select(*df.columns, (part / F.lit(scale)).cast(f"decimal(18,{places})").alias(out))
 
 
@@ -63,38 +77,38 @@ def cumulative(df: DataFrame, key: str, weight: str, out: str) -> DataFrame:
         .drop(SLICE, POS)
 
 
-def bucket_ranges(weights: DataFrame, key: str, weight: str, buckets: int = BUCKETS) -> DataFrame:
-    """(key, lo, hi): the draws that fall to each key, closed range; weights are whole numbers.
-
-    A draw b goes to the first key whose cumulative share is at least b / buckets.
-    """
-    cum = cumulative(weights.select(key, F.col(weight).cast("bigint").alias("_w")), key, "_w", "_c")
-    total = weights.agg(F.sum(F.col(weight).cast("bigint"))).scalar()
-
-    whole = total.cast("decimal(28,0)")
-
-    def cut(c: Column) -> Column:
-        scaled = (c.cast("decimal(28,0)") * F.lit(buckets)).cast(UNITS)
-        return ((scaled - scaled % whole) / whole).cast("bigint")
-
-    lo, hi = F.col("_c") - F.col("_w"), F.col("_c")
-    return cum.select(
-        key,
-        F.when(lo == 0, F.lit(0)).otherwise(cut(lo) + 1).cast("bigint").alias("lo"),
-        F.least(cut(hi), F.lit(buckets - 1)).cast("bigint").alias("hi"),
-    ).filter("hi >= lo")
-
-
-def bucket_table(weights: DataFrame, key: str, weight: str, bucket: str,
-                 buckets: int = BUCKETS) -> DataFrame:
-    """bucket -> key for every possible draw: never more than ``buckets`` rows."""
-    ranges = bucket_ranges(weights, key, weight, buckets)
-    return ranges.select(F.explode(F.sequence("lo", "hi")).alias(bucket), key)
+def weight_ranges(weights: DataFrame, key: str, weight: str) -> DataFrame:
+    """(key, lo, hi): each key's stretch [lo, hi) of the cumulative weight; whole numbers, and keys
+    of weight zero or NULL have none."""
+    table = weights.select(key, F.col(weight).cast("bigint").alias("_w")).filter("_w > 0")
+    summed = cumulative(table, key, "_w", "_c")
+    return summed.select(key, (F.col("_c") - F.col("_w")).alias("lo"), F.col("_c").alias("hi"))
 
 
 def weighted_pick(df: DataFrame, draw: Column, weights: DataFrame, key: str,
                   weight: str) -> DataFrame:
-    """Add the key drawn for each row. The lookup has at most one million two-column rows, a fixed
-    bound, so it is safe to broadcast however large the weight table is."""
-    lookup = F.broadcast(bucket_table(weights, key, weight, "_bucket"))
-    return df.withColumn("_bucket", draw).join(lookup, "_bucket").drop("_bucket")
+    """Add the key drawn for each row; ``draw`` has ``WIDE_BITS`` bits.
+
+    The draw becomes a point of the cumulative weight, which lies in one key's stretch. The weight
+    axis is cut into as many equal cells as there are keys; keys and points meet by cell, and the
+    stretch decides inside it. Every cell gets the same share of the rows whatever the weights, a
+    key lies in as many cells as its share, and the table has at most twice as many rows as keys.
+    There is no bound on the number of keys.
+    """
+    ranges = materialise(weight_ranges(weights, key, weight), "ranges")
+    size = ranges.agg(F.max("hi").alias("total"), F.count(F.lit(1)).alias("n")).first()
+    total, cells = size["total"] or 1, max(1, size["n"])
+
+    def scaled(c: Column, by: int, over: int) -> Column:
+        """c * by div over, exactly."""
+        product = c.cast("decimal(19,0)") * F.lit(by).cast("decimal(19,0)")
+        return F.floor((product - product % F.lit(over).cast("decimal(19,0)"))
+                       / F.lit(over).cast("decimal(19,0)")).cast("bigint")
+    first, last = scaled(F.col("lo"), cells, total), scaled(F.col("hi") - 1, cells, total)
+    table = expanded(ranges.select(key, "lo", "hi", first.alias("_first"),
+                                   (last - first + 1).alias("_n")), "_n", "_k") \
+        .select(key, "lo", "hi", (F.col("_first") + F.col("_k")).alias("_c"))
+    rows = df.withColumn("_point", scaled(draw, total, 1 << WIDE_BITS))
+    rows = rows.withColumn("_cell", scaled(F.col("_point"), cells, total))
+    inside = (F.col("_point") >= F.col("lo")) & (F.col("_point") < F.col("hi"))
+    return rows.join(table, (F.col("_cell") == F.col("_c")) & inside).select(*df.columns, key)

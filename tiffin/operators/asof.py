@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tiffin.functions.clock import open_end
@@ -34,14 +35,15 @@ def by_precedence(facts: DataFrame, rates: DataFrame, scopes: list[tuple[str, st
     """The winning rate per fact when several scopes may apply.
 
     ``scopes`` lists (scope name, key column of the fact or None for everyone), strongest first.
-    Each scope is its own lookup of at most one row per fact and the first hit wins, so there is no
-    OR join, no fan-out and no second shuffle to pick the winner.
+    Rates of one scope and key may overlap; the lowest tiebreak wins in every scope. Each scope is
+    its own lookup of at most one row per fact and the first hit wins, so there is no OR join, no
+    fan-out and no second shuffle to pick the winner.
     """
     out = facts
     hits, ranks = [], []
     for i, (scope, key) in enumerate(scopes, start=1):
         rows = rates.filter(F.col("scope") == scope)
-        card = _one_rate_per_window(rows, value, tiebreak)
+        card = disjoint_windows(rows, value, tiebreak)
         if key is None:
             out = out.withColumn("_card", _calendar(card))
             live = F.filter("_card", lambda w: (F.col(at) >= w["effective_from"])
@@ -60,11 +62,25 @@ def by_precedence(facts: DataFrame, rates: DataFrame, scopes: list[tuple[str, st
             .drop(*[f"_hit{i}" for i in range(1, len(scopes) + 1)]))
 
 
-def _one_rate_per_window(rows: DataFrame, value: str, tiebreak: str) -> DataFrame:
-    """Two rates of one scope, key and start would double the fact; the lowest id wins."""
-    return rows.groupBy("scope_key", "effective_from").agg(
-        F.min_by("effective_to", tiebreak).alias("effective_to"),
-        F.min_by(value, tiebreak).alias("_value"))
+def disjoint_windows(rows: DataFrame, value: str, tiebreak: str) -> DataFrame:
+    """The card of one scope as windows that do not overlap: on each stretch between two dates of a
+    key, the rate of the lowest ``tiebreak`` that covers it. A fact meets one window at most."""
+    card = rows.select("scope_key", "effective_from",
+                       open_end(F.col("effective_to"), "date").alias("effective_to"),
+                       F.col(value).alias("_value"), F.col(tiebreak).alias("_tie"))
+    dates = card.select("scope_key", F.explode(F.array("effective_from", "effective_to"))
+                        .alias("_from")).distinct()
+    # One row per date of a rate card's key, however many facts use the key.
+    stretch = dates.withColumn("_to", F.lead("_from").over(
+        W.partitionBy("scope_key").orderBy("_from"))).filter("_to is not null")
+    over = stretch.select(F.col("scope_key").alias("_key"), "_from", "_to")
+    met = over.join(card, F.col("_key").eqNullSafe(F.col("scope_key"))
+                    & (F.col("effective_from") <= F.col("_from"))
+                    & (F.col("effective_to") >= F.col("_to")))
+    return met.groupBy("scope_key", "_from", "_to").agg(
+        F.min_by("_value", "_tie").alias("_value")).select(
+        "scope_key", F.col("_from").alias("effective_from"), F.col("_to").alias("effective_to"),
+        "_value")
 
 
 def _calendar(card: DataFrame) -> Column:

@@ -47,10 +47,13 @@ def one_accepted_match(orders: DataFrame, attempts: DataFrame) -> DataFrame:
 
 
 def subtotal_mismatch(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Orders whose subtotal is not the sum of their lines; no lines sum to zero."""
     sums = lines.groupBy("order_id").agg(
         F.sum("line_total").cast("decimal(18,2)").alias("computed_subtotal"))
-    return (orders.select("order_id", "subtotal").join(sums, "order_id")
-            .filter(F.col("subtotal") != F.col("computed_subtotal")))
+    zero = F.lit(0).cast("decimal(18,2)")
+    return (orders.select("order_id", "subtotal").join(sums, "order_id", "left")
+            .withColumn("computed_subtotal", F.coalesce("computed_subtotal", zero))
+            .filter(~F.col("subtotal").eqNullSafe(F.col("computed_subtotal"))))
 
 
 def payment_mismatch(orders: DataFrame, payments: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ def attach(df: DataFrame, keys: list[str], salts: int = SALTS, **aggs: tuple[str
     whole = W.partitionBy(*keys)  # at most `salts` rows per key
     merged = parts.select(*keys, "_salt", *[folds[fold](f"_{out}").over(whole).alias(out)
                                             for out, (fold, _) in aggs.items()])
-    return _null_safe(salted, merged, keys + ["_salt"], list(aggs)).drop("_salt")
+    return null_safe(salted, merged, keys + ["_salt"], list(aggs)).drop("_salt")
 
 
 def lookup(rows: DataFrame, per_key: DataFrame, keys: list[str], salts: int = 32) -> DataFrame:
@@ -45,7 +45,7 @@ def lookup(rows: DataFrame, per_key: DataFrame, keys: list[str], salts: int = 32
     return salted.join(repeated, keys + ["_salt"]).drop("_salt")
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+def null_safe(left: DataFrame, right: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """Inner join where NULL keys match each other, as they do in a group."""
     other = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *values)
     same = F.lit(True)

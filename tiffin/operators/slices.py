@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tiffin.operators.skew import null_safe
 from tiffin.session import materialise
 
 SLICE, POS = "_slice", "_pos"
@@ -60,7 +61,7 @@ def ranked(df: DataFrame, group: list[str], order: list[str], out: str,
     starts = parts.select(*group, SLICE, "_first",
                           F.coalesce(before(parts, group, F.sum("_n")), F.lit(0)).alias("_start"),
                           *[F.sum(f"_part_{n}").over(whole).alias(n) for n in sums])
-    return (placed.join(starts, group + [SLICE])
+    return (null_safe(placed, starts, group + [SLICE], ["_first", "_start", *sums])
             .withColumn(out, (F.col("_start") + F.col(POS) - F.col("_first")).cast("bigint"))
             .drop(SLICE, POS, "_first", "_start"))
 
@@ -85,8 +86,7 @@ def block_ranked(df: DataFrame, group: list[str], key: str, out: str,
                  F.lit(0)))
              .drop("_n"))
     local = F.row_number().over(W.partitionBy(*group, "_block").orderBy(key))
-    return (blocked.withColumn("_local", local)
-            .join(parts, group + ["_block"])
+    return (null_safe(blocked.withColumn("_local", local), parts, group + ["_block"], ["_start"])
             .withColumn(out, (F.col("_start") + F.col("_local") - 1).cast("bigint"))
             .drop("_block", "_local", "_start"))
 
@@ -99,7 +99,7 @@ def running(placed: DataFrame, group: list[str], value: str, fold: str, out: str
     carries = parts.select(*group, SLICE, before(parts, group, agg("_part")).alias("_carry"))
     last = 0 if include_current else -1
     local = agg(value).over(local_window(group).rowsBetween(W.unboundedPreceding, last))
-    joined = placed.withColumn("_here", local).join(carries, group + [SLICE])
+    joined = null_safe(placed.withColumn("_here", local), carries, group + [SLICE], ["_carry"])
     if fold == "max":
         total = F.greatest("_here", "_carry")  # greatest skips NULL
     else:
@@ -113,7 +113,7 @@ def previous(placed: DataFrame, group: list[str], value: str, out: str) -> DataF
     window = W.partitionBy(*group).orderBy(SLICE)
     carries = parts.select(*group, SLICE, F.lag("_last").over(window).alias("_carry"))
     here = F.lag(F.struct(value)).over(local_window(group))
-    return (placed.withColumn("_here", here).join(carries, group + [SLICE])
+    return (null_safe(placed.withColumn("_here", here), carries, group + [SLICE], ["_carry"])
             .withColumn(out, F.coalesce("_here", "_carry")[value]).drop("_here", "_carry"))
 
 
