@@ -107,15 +107,28 @@ def test_synthetic_orders(spark):
     assert quality.refund_above_total(orders, back).count() == 0
 
 
-def test_reviews_disagree_on_a_share(spark):
-    outcomes = spark.range(20_000).selectExpr(
-        "id as review_id", "true as delivered", "id % 9 as late_minutes", "false as refunded",
-        "5 as rating")
-    made = reviews.generated(outcomes)
-    clear = made.filter("not ambiguous")
-    share = clear.filter("not agrees").count() / clear.count()
-    assert abs(share - 0.18) < 0.02
-    assert abs(made.filter("ambiguous").count() / 20_000 - 0.15) < 0.02
+def test_reviews_keep_both_truths(spark):
+    texts = spark.createDataFrame([(1, 10, "fine"), (2, 11, "x"), (3, 12, "no facts")],
+                                  "review_id long, order_id long, review_text string")
+    truth = spark.createDataFrame([(1, "positive", False), (2, "positive", True), (3, "neutral",
+                                                                                  False)],
+                                  "review_id long, text_sentiment string, ambiguous boolean")
+    facts = spark.createDataFrame([(10, True, 0, False, 5), (11, True, 40, True, 5)],
+                                  "order_id long, delivered boolean, late_minutes int, "
+                                  "refunded boolean, rating int")
+    got = {r["review_id"]: r for r in reviews.labelled(texts, truth, facts).collect()}
+    assert set(got) == {1, 2} and got[1]["agrees"] and not got[2]["agrees"]
+    opened = spark.createDataFrame([(7, 11, " hi "), (8, 10, "hi")],
+                                   "ticket_id long, order_id long, text string")
+    rows = reviews.tickets(opened, facts).collect()
+    assert [(r["ticket_id"], r["ticket_text"]) for r in rows] == [(7, "REFUND REQUEST: hi")]
+
+
+def test_issue_words_are_whole_words(spark):
+    from tiffin.functions import text
+    rows = spark.createDataFrame([("Chocolate cake on a plate",), ("late!",), ("élate",)], "t string")
+    got = [r["i"] for r in rows.select(text.issues(F.col("t")).alias("i")).collect()]
+    assert got == [["other"], ["late"], ["other"]]
 
 
 def test_absent_arrival_path(spark):

@@ -10,6 +10,8 @@ from tiffin.catalog.models import fct_orders
 from tiffin.catalog.oracle import draw
 from tiffin.catalog.registry import query
 from tiffin.catalog.relational import order_facts
+from tiffin.catalog.scalars import KEYWORD_SQL, hits_sql
+from tiffin.functions import text
 from tiffin.functions.draws import md5_draw
 from tiffin.operators import history, layout
 from tiffin.plans import finance, marts, reviews
@@ -365,34 +367,34 @@ for _name, (_sql, _oracle) in _LAB.items():
 # -- enrichment tables ------------------------------------------------------------------------
 
 
-@query("d23_enrichment_mart", """select t.review_id, r.order_id, t.text_sentiment as sentiment,
- 'labels' as model, case when t.review_id % 2 = 0 then 'v2' else 'v1' end as prompt_version
-from b_truth t join b_reviews r on r.review_id = t.review_id
-union all select t.review_id, r.order_id, t.outcome_class, 'labels', 'v1'
-from b_truth t join b_reviews r on r.review_id = t.review_id where t.review_id % 2 = 0""")
+@query("d23_enrichment_mart", f"""select review_id, order_id, 'keywords' as model, 'v1'
+ as prompt_version, {KEYWORD_SQL} as sentiment from b_reviews
+union all select review_id, order_id, 'keywords', 'v2',
+ case when {hits_sql(text.NEGATIVE_WORDS)} > 0 then 'negative' else 'positive' end
+from b_reviews where lang = 'en'""")
 def d23(b: Bronze):
-    """Results keyed by review, model and version: a second version adds rows, a repeat does not."""
-    truth = b.review_truth()
+    """Results keyed by review, model and version: a second version adds rows, a repeat does not.
+    Partitioned by language and model, so a run over one language leaves the others alone."""
+    rows = b.reviews()
     keys = ["review_id", "model", "prompt_version"]
 
-    def result(rows, value, version):
-        return rows.select("review_id", F.lit("labels").alias("model"),
-                           F.lit(version).alias("prompt_version"), F.col(value).alias("sentiment"))
-    even = truth.filter("review_id % 2 = 0")
-    odd = truth.filter("review_id % 2 = 1")
-    first = result(even, "outcome_class", "v1").unionByName(result(odd, "text_sentiment", "v1"))
+    def result(rows, sentiment, version):
+        return rows.select("review_id", "lang", F.lit("keywords").alias("model"),
+                           F.lit(version).alias("prompt_version"), sentiment.alias("sentiment"))
+    v1 = text.keyword_sentiment(F.col("review_text"))
+    v2 = F.when(text.word_hits(F.col("review_text"), text.NEGATIVE_WORDS) > 0, "negative") \
+        .otherwise("positive")
+    first = result(rows, v1, "v1")
     table = tables.VersionedTable(b.spark, scratch(b.spark, "enrichment"), first.schema,
-                                  F.pmod(F.xxhash64("review_id"), F.lit(4)))
+                                  F.pmod(F.xxhash64("lang"), F.lit(64)))
     table.upsert(first, keys)
     for _ in range(2):
-        table.upsert(result(even, "text_sentiment", "v2"), keys)
-    orders = b.reviews().select("review_id", "order_id")
-    return table.read().join(orders, "review_id").select(
-        "review_id", "order_id", "sentiment", "model", "prompt_version")
+        table.upsert(result(rows.filter("lang = 'en'"), v2, "v2"), keys)
+    return table.read().drop("lang").join(rows.select("review_id", "order_id"), "review_id").select(
+        "review_id", "order_id", "model", "prompt_version", "sentiment")
 
 
-@query("d24_embedding_table", """select review_id, model, dim, vector[1] as first_value
- from b_vectors""")
+@query("d24_embedding_table", """select review_id, model, dim, vector from b_vectors""")
 def d24(b: Bronze):
     """A first load of one half, then only what is missing."""
     vectors = b.vectors()
@@ -403,5 +405,4 @@ def d24(b: Bronze):
     for _ in range(2):
         missing = reviews.pending(vectors, table.read(), "review_id", model="fixture-64")
         table.upsert(missing, ["review_id", "model"], update=False)
-    return table.read().select("review_id", "model", "dim",
-                               F.get("vector", F.lit(0)).alias("first_value"))
+    return table.read().select("review_id", "model", "dim", "vector")

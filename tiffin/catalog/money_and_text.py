@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tiffin.catalog.oracle import draw, key, pick, view
+from tiffin.catalog.oracle import draw, key, view
 from tiffin.catalog.registry import query
 from tiffin.catalog.relational import claims, order_facts
 from tiffin.catalog.scalars import KEYWORD_SQL
@@ -359,42 +359,33 @@ def d27_method(b: Bronze):
 # -- reviews -------------------------------------------------------------------------------------
 
 
-def _array_pick(options: list[str], index: str) -> str:
-    return pick([o.replace("'", "''") for o in options], index)
-
-
-_IDX = draw(5, "review_id")
-_SAID = " ".join(f"when '{c}' then {_array_pick(reviews.CLEAR[c], _IDX)}" for c in reviews.CLASSES)
 view("m_outcomes", """
-select order_id as review_id, order_status = 'DELIVERED' as delivered, order_id % 45 as late_minutes,
+select order_id, delivered, refunded, case when not delivered or refunded or rating <= 2
+  or late_minutes >= 30 then 'negative' when late_minutes >= 10 or rating = 3 then 'neutral'
+  else 'positive' end as outcome_class
+from (select order_id, order_status = 'DELIVERED' as delivered, order_id % 45 as late_minutes,
  order_status = 'CANCELLED' or order_id % 1000 between 100 and 127 as refunded,
- 1 + order_id % 5 as rating from b_heads""")
+ 1 + order_id % 5 as rating from b_heads)""")
+# The sharp s has two capitals in one engine and one in the other.
 view("x_reviews", f"""
-select review_id, case {draw(6, 'review_id')} % 25 when 0 then upper(t) when 1 then lower(t)
-  when 2 then '   ' || t when 3 then t || '   ' else t end as review_text, text_sentiment,
- outcome_class, text_sentiment = outcome_class as agrees, ambiguous, refunded, delivered
-from (select *, case kind when 's' then {_array_pick(reviews.SARCASTIC, _IDX)}
-   when 'm' then {_array_pick(reviews.MIXED, _IDX)} else case text_sentiment {_SAID} end end as t
- from (select *, case when kind = 's' then 'negative' when kind = 'm' then 'neutral'
-   when {draw(4, 'review_id')} % 1000 < 180 then case outcome_class when 'positive' then 'negative'
-    when 'negative' then 'positive' else 'negative' end else outcome_class end as text_sentiment
-  from (select *, case when not delivered or refunded or rating <= 2 or late_minutes >= 30
-     then 'negative' when late_minutes >= 10 or rating = 3 then 'neutral' else 'positive' end
-     as outcome_class, {draw(2, 'review_id')} % 1000 < 150 as ambiguous,
-    case when {draw(2, 'review_id')} % 1000 >= 150 then 'c'
-     when {draw(3, 'review_id')} % 2 = 1 then 's' else 'm' end as kind from m_outcomes)))""")
+select review_id, order_id, case {draw(6, 'review_id')} % 25
+  when 0 then upper(replace(review_text, 'ß', 'ss')) when 1 then lower(review_text)
+  when 2 then '   ' || review_text when 3 then review_text || '   ' else review_text end
+  as review_text, text_sentiment, outcome_class, text_sentiment = outcome_class as agrees,
+ ambiguous, refunded, delivered
+from b_reviews join (select review_id, text_sentiment, ambiguous from b_truth) using (review_id)
+ join m_outcomes using (order_id)""")
 
 
 def outcomes(b: Bronze):
     return b.order_heads().selectExpr(
-        "order_id as review_id", "order_status = 'DELIVERED' as delivered",
-        "order_id % 45 as late_minutes",
+        "order_id", "order_status = 'DELIVERED' as delivered", "order_id % 45 as late_minutes",
         "order_status = 'CANCELLED' or order_id % 1000 between 100 and 127 as refunded",
         "1 + order_id % 5 as rating")
 
 
 def made_reviews(b: Bronze):
-    return reviews.generated(outcomes(b), md5_draw)
+    return reviews.labelled(b.reviews(), b.review_truth(), outcomes(b), md5_draw)
 
 
 @query("d25_reviews", "select * from x_reviews")
@@ -402,20 +393,22 @@ def d25(b: Bronze):
     return made_reviews(b)
 
 
-@query("d25_tickets", """select review_id, case when refunded then 'REFUND REQUEST: ' else 'ISSUE: '
- end || trim(review_text) as ticket_text, text_sentiment, outcome_class, agrees, ambiguous
-from x_reviews where refunded or not delivered""")
+@query("d25_tickets", """select conv_id as ticket_id, order_id, case when refunded
+  then 'REFUND REQUEST: ' else 'ISSUE: ' end || trim(text) as ticket_text, outcome_class
+from (select conv_id, conv_id * 31 % (select count(*) from orders) as order_id,
+  min_by(text, turn) as text from conversations where role = 'user' group by conv_id)
+ join m_outcomes using (order_id) where refunded or not delivered""")
 def d25_tickets(b: Bronze):
-    return reviews.tickets(made_reviews(b))
+    return reviews.tickets(b.openings(), outcomes(b))
 
 
-view("x_scored", f"""select review_id, text_sentiment as y, {KEYWORD_SQL} as yhat, ambiguous
+view("x_scored", f"""select review_id, order_id, text_sentiment as y, {KEYWORD_SQL} as yhat, ambiguous
  from x_reviews""")
 
 
 def scored(b: Bronze):
     return made_reviews(b).select(
-        "review_id", F.col("text_sentiment").alias("y"),
+        "review_id", "order_id", F.col("text_sentiment").alias("y"),
         text.keyword_sentiment(F.col("review_text")).alias("yhat"), "ambiguous")
 
 
@@ -459,11 +452,11 @@ def a18_scores(b: Bronze):
 select restaurant_id, count(*) as n, round(avg(case when s = 'negative' then 1.0 else 0.0 end), 6)
  as negative_share, round(avg(c), 6) as mean_confidence
 from (select h.restaurant_id, yhat as s, 0.5 + (review_id % 50) / 100.0 as c
- from x_scored join b_heads h on h.order_id = review_id) group by restaurant_id""")
+ from x_scored join b_heads h using (order_id)) group by restaurant_id""")
 def a19(b: Bronze):
-    shops = b.order_heads().select(F.col("order_id").alias("review_id"), "restaurant_id")
+    shops = b.order_heads().select("order_id", "restaurant_id")
     s = scored(b).withColumn("c", F.lit(0.5) + (F.col("review_id") % 50) / 100.0)
-    return s.join(shops, "review_id").groupBy("restaurant_id").agg(
+    return s.join(shops, "order_id").groupBy("restaurant_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.round(F.avg((F.col("yhat") == "negative").cast("double")), 6).alias("negative_share"),
         F.round(F.avg("c"), 6).alias("mean_confidence"))
@@ -473,14 +466,14 @@ def a19(b: Bronze):
 select round(corr(negative_share, late_share), 6) as corr_late,
  round(corr(negative_share, refund_share), 6) as corr_refund, count(*) as n_restaurants
 from (select h.restaurant_id, avg(case when text_sentiment = 'negative' then 1.0 else 0.0 end)
-  as negative_share, avg(case when review_id % 45 >= 30 then 1.0 else 0.0 end) as late_share,
+  as negative_share, avg(case when order_id % 45 >= 30 then 1.0 else 0.0 end) as late_share,
   avg(case when refunded then 1.0 else 0.0 end) as refund_share
- from x_reviews join b_heads h on h.order_id = review_id group by 1)""")
+ from x_reviews join b_heads h using (order_id) group by 1)""")
 def a20(b: Bronze):
-    shops = b.order_heads().select(F.col("order_id").alias("review_id"), "restaurant_id")
-    per = made_reviews(b).join(shops, "review_id").groupBy("restaurant_id").agg(
+    shops = b.order_heads().select("order_id", "restaurant_id")
+    per = made_reviews(b).join(shops, "order_id").groupBy("restaurant_id").agg(
         F.avg((F.col("text_sentiment") == "negative").cast("double")).alias("negative_share"),
-        F.avg((F.col("review_id") % 45 >= 30).cast("double")).alias("late_share"),
+        F.avg((F.col("order_id") % 45 >= 30).cast("double")).alias("late_share"),
         F.avg(F.col("refunded").cast("double")).alias("refund_share"))
     return per.agg(F.round(F.corr("negative_share", "late_share"), 6).alias("corr_late"),
                    F.round(F.corr("negative_share", "refund_share"), 6).alias("corr_refund"),

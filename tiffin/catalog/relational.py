@@ -252,14 +252,14 @@ def j13(b: Bronze):
         "order_id", "amount_cents")
 
 
-@query("j14_pending_work", """select review_id, lang from b_reviews r
- where not exists (select 1 from b_truth t where t.review_id = r.review_id)""")
+@query("j14_pending_work", """select review_id, lang from b_reviews
+ where lang is distinct from 'en'""")
 def j14(b: Bronze):
-    """Reviews without a label of this model and version."""
+    """Reviews without a result of this model and version: version 1 has seen English only."""
     from tiffin.plans.reviews import pending
-    done = b.review_truth().select("review_id", F.lit("labels").alias("model"),
-                                   F.lit("v1").alias("prompt_version"))
-    return pending(b.reviews().select("review_id", "lang"), done, "review_id", model="labels",
+    done = b.reviews().filter("lang = 'en'").select("review_id", F.lit("keywords").alias("model"),
+                                                    F.lit("v1").alias("prompt_version"))
+    return pending(b.reviews().select("review_id", "lang"), done, "review_id", model="keywords",
                    prompt_version="v1")
 
 

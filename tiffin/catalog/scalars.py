@@ -269,12 +269,14 @@ def f28(b: Bronze):
         .alias("outcome_class"))
 
 
-def _hits(words: list[str]) -> str:
-    return f"len(regexp_extract_all(lower(review_text), '\\b({'|'.join(words)})\\b'))"
+def hits_sql(words: list[str]) -> str:
+    listed = ", ".join(f"'{w}'" for w in words)
+    return (f"len(list_filter(regexp_split_to_array(lower(review_text), '{text.NOT_IN_WORDS}'), "
+            f"lambda w: w in ({listed})))")
 
 
-KEYWORD_SQL = (f"case when {_hits(text.POSITIVE_WORDS)} > {_hits(text.NEGATIVE_WORDS)} "
-               f"then 'positive' when {_hits(text.POSITIVE_WORDS)} < {_hits(text.NEGATIVE_WORDS)} "
+KEYWORD_SQL = (f"case when {hits_sql(text.POSITIVE_WORDS)} > {hits_sql(text.NEGATIVE_WORDS)} "
+               f"then 'positive' when {hits_sql(text.POSITIVE_WORDS)} < {hits_sql(text.NEGATIVE_WORDS)} "
                "then 'negative' else 'neutral' end")
 
 
@@ -286,8 +288,7 @@ def f29(b: Bronze):
 
 _ISSUES = " union all ".join(
     f"select review_id, '{name}' as issue from b_reviews "
-    f"where regexp_matches(lower(review_text), '{pattern}')"
-    for name, pattern in text.ISSUE_PATTERNS.items())
+    f"where {hits_sql(words)} > 0" for name, words in text.ISSUE_WORDS.items())
 
 
 @query("a23_issue_categories", f"""

@@ -34,16 +34,16 @@ def match_key(text: Column) -> Column:
     return F.lower(F.trim(text))
 
 
-# Our own small lexicon for the keyword baseline.
-POSITIVE_WORDS = ["great", "perfect", "fast", "polite", "smooth", "lovely", "love", "fantastic",
-                  "wonderful", "hot", "early", "complete", "impressive"]
-NEGATIVE_WORDS = ["late", "cold", "wrong", "refund", "frustrating", "cancelled", "poor", "rude",
-                  "leaked", "waiting", "never", "support"]
+# Plain words of praise and blame for the keyword baseline.
+POSITIVE_WORDS = ["good", "great", "nice", "best", "happy", "excellent", "thanks", "pleased"]
+NEGATIVE_WORDS = ["bad", "worst", "awful", "terrible", "stupid", "trash", "worthless",
+                  "disgusting", "pathetic", "idiot"]
+NOT_IN_WORDS = r"[^\p{L}\p{N}]+"
 
 
 def word_hits(text: Column, words: list[str]) -> Column:
-    """How many words of the text are in the list, over the whole text."""
-    return F.size(F.regexp_extract_all(F.lower(text), F.lit(r"\b(" + "|".join(words) + r")\b"), 1))
+    """How many whole words of the text are in the list, over the whole text."""
+    return F.size(F.filter(F.split(F.lower(text), NOT_IN_WORDS), lambda w: w.isin(*words)))
 
 
 def keyword_sentiment(text: Column) -> Column:
@@ -52,21 +52,22 @@ def keyword_sentiment(text: Column) -> Column:
 
 
 # Review issue categories and the words that flag them.
-ISSUE_PATTERNS = {
-    "late": r"late|waiting|hour",
-    "temperature": r"cold|temperature",
-    "quality": r"quality|poor|stale",
-    "wrong_order": r"wrong|missing",
-    "packaging": r"packaging|leaked|spilled",
-    "courier": r"courier|rider|buzzer",
+ISSUE_WORDS = {
+    "late": ["late", "waiting", "hour", "hours"],
+    "temperature": ["cold", "temperature"],
+    "quality": ["quality", "poor", "stale", "trash", "worthless"],
+    "wrong_order": ["wrong", "missing"],
+    "packaging": ["packaging", "leaked", "spilled"],
+    "courier": ["courier", "rider", "moron", "clown"],
 }
 
 
 def issues(text: Column) -> Column:
-    """Every category whose pattern occurs; ``other`` when none does."""
-    lowered = F.lower(text)
+    """Every category of which a whole word occurs; ``other`` when none does."""
+    words = F.split(F.lower(text), NOT_IN_WORDS)
     found = F.array_compact(F.array(*[
-        F.when(lowered.rlike(pattern), F.lit(name)) for name, pattern in ISSUE_PATTERNS.items()
+        F.when(F.arrays_overlap(words, F.array(*map(F.lit, flags))), F.lit(name))
+        for name, flags in ISSUE_WORDS.items()
     ]))
     return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("other")))
 

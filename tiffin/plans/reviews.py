@@ -1,75 +1,45 @@
-"""Reviews: generated text with two independent labels, evaluation, enrichment tables."""
+"""Reviews with two independent truths, tickets, evaluation, enrichment tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiffin.functions.draws import Draw, pick, xx_draw
+from tiffin.functions.draws import Draw, xx_draw
 from tiffin.functions.text import damaged, outcome_class
 
 CLASSES = ["positive", "neutral", "negative"]
-DISAGREE, AMBIGUOUS = 180, 150  # fixed values: shares in thousandths
-
-# Our own review sentences.
-CLEAR = {
-    "positive": ["The meal was hot and the courier was polite.", "Perfect order, fast and complete.",
-                 "Great food, arrived early.", "Lovely experience from start to end."],
-    "neutral": ["The order came as described.", "An ordinary delivery, nothing to add.",
-                "It arrived in the given window.", "The meal was okay for the price."],
-    "negative": ["The order was late and the soup was cold.", "Wrong dish, I asked for a refund.",
-                 "Poor service, still waiting after an hour.", "The rider never called."],
-}
-MIXED = ["Great taste but the packaging leaked.", "Late, yet the staff was polite.",
-         "Fast courier, wrong drink.", "Lovely starter, cold main dish."]
-SARCASTIC = ["Great, one more cold dinner.", "Fantastic, wrong order again.",
-             "I love waiting for an hour.", "Wonderful, if you enjoy calling support."]
-FLIP = {"positive": "negative", "negative": "positive", "neutral": "negative"}
-
-
-def _of(sentiment: Column, index: Column) -> Column:
-    chain = F.when(sentiment == CLASSES[0], pick(CLEAR[CLASSES[0]], index))
-    for c in CLASSES[1:]:
-        chain = chain.when(sentiment == c, pick(CLEAR[c], index))
-    return chain
-
-
-def generated(outcomes: DataFrame, draw: Draw = xx_draw, seed: int = 1) -> DataFrame:
-    """Review text and truth per ``(review_id, delivered, late_minutes, refunded, rating)``.
-
-    What happened and what the text says come from separate draws, so they disagree on a share.
-    """
+
+
+def _happened(outcomes: DataFrame) -> DataFrame:
+    return outcomes.select("order_id", "refunded", "delivered", outcome_class(
+        F.col("delivered"), F.col("late_minutes"), F.col("refunded"), F.col("rating"))
+        .alias("outcome_class"))
+
+
+def labelled(texts: DataFrame, truth: DataFrame, outcomes: DataFrame, draw: Draw = xx_draw,
+             seed: int = 1) -> DataFrame:
+    """Review texts with what they say (``truth``, from people) and what measurably happened
+    (``outcomes``, from facts); the two know nothing of each other. Some texts are damaged."""
     key = F.col("review_id")
-    happened = outcomes.withColumn("outcome_class", outcome_class(
-        F.col("delivered"), F.col("late_minutes"), F.col("refunded"), F.col("rating")))
-    oc = F.col("outcome_class")
-    ambiguous = draw(seed + 1, key) % 1000 < AMBIGUOUS
-    sarcastic = draw(seed + 2, key) % 2 == 1
-    disagrees = draw(seed + 3, key) % 1000 < DISAGREE
-    flipped = F.when(oc == "positive", FLIP["positive"]).when(oc == "negative", FLIP["negative"]) \
-        .otherwise(FLIP["neutral"])
-    said = F.when(ambiguous, F.when(sarcastic, "negative").otherwise("neutral")).otherwise(
-        F.when(disagrees, flipped).otherwise(oc))
-    index = draw(seed + 4, key)
-    labelled = (happened.withColumn("ambiguous", ambiguous).withColumn("text_sentiment", said)
-                .withColumn("_kind", F.when(ambiguous & sarcastic, "s").when(ambiguous, "m")
-                            .otherwise("c")))
-    text = (F.when(F.col("_kind") == "s", pick(SARCASTIC, index))
-            .when(F.col("_kind") == "m", pick(MIXED, index))
-            .otherwise(_of(F.col("text_sentiment"), index)))
-    return labelled.select(
-        "review_id", damaged(text, draw(seed + 5, key) % 25).alias("review_text"),
+    known = truth.select("review_id", "text_sentiment", "ambiguous")
+    rows = texts.select("review_id", "order_id", "review_text").join(known, "review_id") \
+        .join(_happened(outcomes), "order_id")
+    return rows.select(
+        "review_id", "order_id",
+        damaged(F.col("review_text"), draw(seed + 5, key) % 25).alias("review_text"),
         "text_sentiment", "outcome_class",
         (F.col("text_sentiment") == F.col("outcome_class")).alias("agrees"), "ambiguous",
         "refunded", "delivered")
 
 
-def tickets(reviews: DataFrame) -> DataFrame:
-    """Support tickets exist only where money went back or nothing arrived."""
+def tickets(openings: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Support tickets exist only where money went back or nothing arrived; ``openings`` has the
+    first thing a customer wrote."""
     prefix = F.when(F.col("refunded"), "REFUND REQUEST: ").otherwise("ISSUE: ")
-    return reviews.filter("refunded or not delivered").select(
-        "review_id", F.concat(prefix, F.trim("review_text")).alias("ticket_text"),
-        "text_sentiment", "outcome_class", "agrees", "ambiguous")
+    return openings.join(_happened(outcomes), "order_id").filter("refunded or not delivered").select(
+        "ticket_id", "order_id", F.concat(prefix, F.trim("text")).alias("ticket_text"),
+        "outcome_class")
 
 
 def confusion(scored: DataFrame) -> DataFrame:

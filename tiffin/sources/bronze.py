@@ -354,6 +354,14 @@ class Bronze:
             F.col("doc_id").alias("review_id"), (F.col("doc_id") % n).alias("order_id"),
             F.col("text").alias("review_text"), "lang")
 
+    def openings(self) -> DataFrame:
+        """The first thing the customer wrote in each conversation."""
+        n = self.size("orders")
+        said = self.raw("conversations", "conv_id", "turn", "role", "text").filter("role = 'user'")
+        return said.groupBy("conv_id").agg(F.min_by("text", "turn").alias("text")).select(
+            F.col("conv_id").alias("ticket_id"), (F.col("conv_id") * 31 % n).alias("order_id"),
+            "text")
+
     def review_truth(self) -> DataFrame:
         """Answer key from the labels; only the evaluation may read it."""
         return self.raw("labels", "doc_id", "quality", "toxic").selectExpr(
