@@ -87,15 +87,24 @@ def s05(b: Bronze):
 
 
 @query("s06_csv_landing", """select cast(order_id as varchar) as order_id, delivery_notes,
- cast(null as varchar) as _bronze_rescued from b_heads where delivery_notes is not null""")
+ cast(null as varchar) as _bronze_rescued from b_heads""")
 def s06(b: Bronze):
+    """Most notes are NULL and come back as such."""
     path = scratch(b.spark, "csv")
-    notes = b.order_heads().filter("delivery_notes is not null").select("order_id",
-                                                                        "delivery_notes")
+    notes = b.order_heads().select("order_id", "delivery_notes")
     landing.export(notes, path)
     return landing.read_csv(b.spark, path, ["order_id", "delivery_notes"])
 
 
+@query("s06_text_landing", """select cast(doc_id as varchar) as doc_id, text,
+ cast(null as varchar) as _bronze_rescued from documents""")
+def s06_text(b: Bronze):
+    """Texts with line breaks and quotes come back as they were."""
+    path = scratch(b.spark, "csv")
+    landing.export(b.raw("documents", "doc_id", "text"), path)
+    return landing.read_csv(b.spark, path, ["doc_id", "text"])
+
+
 @query("s07_ingest_metadata", """select c_custkey as customer_id, 'batch-1' as _bronze_batch_id,
  true as has_file, true as has_time from customer""")
 def s07(b: Bronze):

@@ -8,8 +8,14 @@ from pyspark.sql import functions as F
 RESCUED = "_bronze_rescued"
 METADATA = ["_bronze_ingested_at", "_bronze_source_file", "_bronze_batch_id"]
 
-# Readers and writers trim by default, which would erase untrimmed text.
-KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# NULL has a mark of its own, from the private use area, so that empty text stays empty.
+NULL_MARK = "\ue000"
+
+# Readers and writers trim by default, which would erase untrimmed text. Every value is quoted, a
+# quote is doubled and a backslash is a letter, so text with line breaks comes back as it was.
+EXACT = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+         "quote": '"', "escape": '"', "lineSep": "\n", "nullValue": NULL_MARK, "emptyValue": ""}
+MAX_ROWS_PER_FILE = 100_000
 TOLERANT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RESCUED}
 
 
@@ -18,19 +24,27 @@ def string_schema(columns: list[str]) -> str:
 
 
 def export(df: DataFrame, path: str, kind: str = "csv", gzip: bool = False) -> None:
-    """Every column as text, damage kept, in as many files as there are partitions."""
+    """Every column as text, damage kept, in as many files as there are partitions.
+
+    A text that equals the mark of NULL cannot be told from it in CSV and stops the export. A CSV
+    file with line breaks inside values is read by one task, so files are kept small:
+    ``MAX_ROWS_PER_FILE`` rows at most.
+    """
     text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-    writer = text.write.mode("overwrite")
+    if kind == "csv":
+        text = text.select(*[F.when(F.col(c) == NULL_MARK, F.raise_error(F.lit(
+            f"{c} holds the mark of NULL"))).otherwise(F.col(c)).alias(c) for c in df.columns])
+    writer = text.write.mode("overwrite").option("maxRecordsPerFile", str(MAX_ROWS_PER_FILE))
     if gzip:
         writer = writer.option("compression", "gzip")
     if kind == "csv":
-        writer = writer.options(header="true", **KEEP_SPACES)
+        writer = writer.options(header="true", quoteAll="true", **EXACT)
     writer.format(kind).save(path)
 
 
 def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """All strings, nothing inferred; a line that does not fit is kept in the rescue column."""
-    return (spark.read.options(header="true", **KEEP_SPACES, **TOLERANT)
+    return (spark.read.options(header="true", multiLine="true", **EXACT, **TOLERANT)
             .schema(string_schema(columns)).csv(path))
 
 
@@ -67,7 +81,8 @@ def stream(spark: SparkSession, path: str, columns: list[str], kind: str,
     reader = spark.readStream.option("maxFilesPerTrigger", str(max_files)) \
         .option("recursiveFileLookup", "true")
     if kind == "csv":
-        return (reader.options(header="true", enforceSchema="true", **KEEP_SPACES, **TOLERANT)
+        return (reader.options(header="true", enforceSchema="true", multiLine="true", **EXACT,
+                               **TOLERANT)
                 .schema(string_schema(columns)).format("csv").load(path))
     lines = reader.format("text").load(path)
     parsed = F.from_json("value", ", ".join(f"`{c}` string" for c in columns))
