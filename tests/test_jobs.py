@@ -91,3 +91,19 @@ def test_apply_winner(spark, bronze):
     assert spark.read.parquet(path).exceptAll(rows).count() == 0
     with pytest.raises(ValueError):
         layout.apply_winner(rows, results.filter(F.col("bytes_scanned").isNull()), path, 4)
+
+
+def test_marts_take_their_place_only_when_checked(spark, bronze, monkeypatch):
+    out = scratch(spark, "gold")
+    counts = jobs.build_layers(bronze_table(bronze), out, SALT)
+    before = {n: read(spark, out, n).collect() for n in counts}
+    monkeypatch.setattr(quality, "subtotal_mismatch", lambda orders, lines: orders)
+    with pytest.raises(quality.GateError):
+        jobs.build_layers(bronze_table(bronze), out, SALT)
+    monkeypatch.undo()
+    assert {n: read(spark, out, n).collect() for n in counts} == before
+    jobs.build_layers(bronze_table(bronze), out, SALT)  # the same build twice, row by row
+    for name in counts:
+        again = read(spark, out, name)
+        kept = spark.createDataFrame(before[name], again.schema)
+        assert again.exceptAll(kept).count() == kept.exceptAll(again).count() == 0, name

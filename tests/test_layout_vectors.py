@@ -92,3 +92,10 @@ def test_query_batches(spark, monkeypatch):
     df = spark.createDataFrame([(str(i), [1.0, float(i)]) for i in range(7)],
                                "review_id string, vector array<double>")
     assert vectors.top_k(df, df, 2).count() == 14
+
+
+def test_zero_vectors_come_last(spark):
+    rows = [("a", [1.0, 0.0]), ("b", [0.0, 0.0]), ("c", [-1.0, 0.0])]
+    df = spark.createDataFrame(rows, "review_id string, vector array<double>")
+    got = vectors.top_k(df, df.filter("review_id = 'a'"), 3).orderBy("position").collect()
+    assert [(r["review_id"], r["score"]) for r in got] == [("a", 1.0), ("c", -1.0), ("b", None)]

@@ -449,10 +449,16 @@ def a13(b: Bronze):
         median_length(shifts).alias("median_seconds"), "n_open")
 
 
-@query("a14_approx_distinct")
+@query("a14_approx_distinct", """select event_type, count(distinct order_id) as n_orders,
+ true as within_bound from b_events group by event_type""")
 def a14(b: Bronze):
-    return b.order_events().groupBy("event_type").agg(
-        F.approx_count_distinct("order_id").alias("n_orders_approx"))
+    """The estimate itself has no SQL twin; three standard errors from the exact count are checked."""
+    counts = b.order_events().groupBy("event_type").agg(
+        F.countDistinct("order_id").alias("n_orders"),
+        F.approx_count_distinct("order_id", 0.05).alias("_near"))
+    gap = F.abs(F.col("_near") - F.col("n_orders"))
+    return counts.select("event_type", "n_orders",
+                         (gap <= 0.15 * F.col("n_orders")).alias("within_bound"))
 
 
 @query("a15_damage_ratio", """select count(distinct delivery_notes) as raw_values,
@@ -551,11 +557,12 @@ def k03(b: Bronze):
 
 
 @query("k04_vector_top_k", """
-select query_id, cast(position as integer) as position, review_id, score from (
+select query_id, cast(position as integer) as position, review_id, round(score, 6) as score from (
  select query_id, review_id, score, row_number() over (partition by query_id
   order by score desc, review_id) as position from (
   select q.review_id as query_id, c.review_id,
-   round(list_cosine_similarity(cast(q.vector as double[]), cast(c.vector as double[])), 6) as score
+   round(list_cosine_similarity(cast(q.vector as double[]), cast(c.vector as double[])), 12)
+    as score
   from b_vectors c, (select * from b_vectors v join (select min(vec_id) as m from embeddings
     group by label) l on cast(l.m as varchar) = v.review_id) q)) where position <= 10""")
 def k04(b: Bronze):

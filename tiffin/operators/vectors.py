@@ -9,11 +9,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiffin.operators.slices import block_ranked
+from tiffin.operators.slices import ranked
 
 QUERY_BATCH = 256  # query vectors held by every task; more queries mean more passes
 
 
+NO_DIRECTION = -2.0  # below any cosine: a zero vector comes last, and its score is NULL
+
+
+def _unit(rows: np.ndarray) -> np.ndarray:
+    norm = np.linalg.norm(rows, axis=1, keepdims=True)
+    return np.divide(rows, norm, out=np.full_like(rows, np.nan), where=norm > 0)
+
+
 def _best(ids: list, matrix: np.ndarray, k: int):
     """Keeps the k best corpus rows per query while a task reads its partition."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -24,8 +32,9 @@ def _best(ids: list, matrix: np.ndarray, k: int):
             rows = np.stack(batch["vector"].to_numpy()).astype("float64")
             if rows.shape[1] != matrix.shape[1]:
                 raise ValueError(f"vectors of {rows.shape[1]} and {matrix.shape[1]} dimensions")
-            rows /= np.linalg.norm(rows, axis=1, keepdims=True)
-            score = np.round(rows @ matrix.T, 6)
+            score = _unit(rows) @ matrix.T
+            # Exact copies must tie although a matrix product may differ in the last bits.
+            score = np.where(np.isnan(score), NO_DIRECTION, np.round(score, 12))
             found = pd.DataFrame({
                 "query_id": np.tile(ids, len(batch)),
                 "review_id": np.repeat(batch["review_id"].to_numpy(), len(ids)),
@@ -45,16 +54,15 @@ def top_k(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """The k most similar corpus rows per query row; both have ``review_id`` and ``vector``.
 
     A scan per batch of queries: each task keeps k rows per query, so at most k rows per query and
-    task are shuffled and no pair is ever written out. Vectors of another dimension are an error.
+    task are shuffled and no pair is ever written out. Vectors of another dimension are an error; a
+    zero vector has no score and comes last.
     """
-    numbered = block_ranked(queries.withColumn("_n", F.col("review_id").cast("bigint")), [], "_n",
-                            "_at")
+    numbered = ranked(queries, [], ["review_id"], "_at")
     out = None
     for i in range(-(-queries.count() // QUERY_BATCH)):
         batch = numbered.filter((F.col("_at") >= i * QUERY_BATCH)
                                 & (F.col("_at") < (i + 1) * QUERY_BATCH)).collect()
-        matrix = np.array([r["vector"] for r in batch], dtype="float64")
-        matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+        matrix = _unit(np.array([r["vector"] for r in batch], dtype="float64"))
         part = corpus.select("review_id", "vector").mapInPandas(
             _best([r["review_id"] for r in batch], matrix, k),
             "query_id string, review_id string, score double")
@@ -67,4 +75,5 @@ def top_k(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         .select("query_id", F.explode("_some").alias("_r")).select("query_id", "_r.*")
     best = salted.groupBy("query_id").agg(F.slice(ordered, 1, k).alias("_top"))
     return best.select("query_id", F.posexplode("_top").alias("_p", "_r")).select(
-        "query_id", (F.col("_p") + 1).alias("position"), "_r.review_id", "_r.score")
+        "query_id", (F.col("_p") + 1).alias("position"), "_r.review_id",
+        F.when(F.col("_r.score") > NO_DIRECTION, F.round("_r.score", 6)).alias("score"))

@@ -7,6 +7,8 @@ state visible, and a repeated ``(app, batch)`` is recognised and skipped.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +20,33 @@ _LOG = "_part string, _version bigint, _replaces boolean, _app string, _batch bi
 
 
 def overwrite(df: DataFrame, contract: Contract, path: str, name: str = "table") -> int:
-    """Full-table overwrite behind a schema check; gives the row count of what was written."""
-    enforce(df, contract, name).write.mode("overwrite").parquet(path)
+    """Full-table overwrite behind a schema check; gives the row count of what was written.
+
+    The new files are complete before the old table goes, so a job that dies leaves one of the two.
+    """
+    fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    enforce(df, contract, name).write.parquet(fresh)
+    swap(df.sparkSession, fresh, path)
     return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
+def swap(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put the folder ``fresh`` in the place of ``path``; the old folder is kept until then."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    new, old = (jvm.org.apache.hadoop.fs.Path(p.rstrip("/")) for p in (fresh, path))
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
+    fs = new.getFileSystem(conf)
+    was = fs.exists(old)
+    if was and not fs.rename(old, aside):
+        raise OSError(f"cannot set {path} aside")
+    if not fs.rename(new, old):
+        if was:
+            fs.rename(aside, old)
+        raise OSError(f"cannot publish {path}")
+    if was:
+        fs.delete(aside, True)
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, part: Column | None):
         """``part`` gives the partition of a row, for example a date; it must be a function of the
