@@ -66,7 +66,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def to_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, with the proof that they decode to it."""
-    coded = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY)
+    coded = bpe.encode(docs, VOCABULARY, decoded="decoded")
     return coded.select(*[c for c in docs.columns if c not in ("text", "ids")], "ids",
                         F.size("ids").cast("long").alias("n_tokens"),
                         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))

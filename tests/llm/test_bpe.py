@@ -55,3 +55,8 @@ def test_clashing_columns_are_replaced(odd):
     coded = bpe.encode(odd, PATH)
     assert [c.lower() for c in coded.columns].count("ids") == 1
     assert dict(coded.dtypes)["ids"] == "array<int>"
+
+
+def test_decoding_alone(spark, odd):
+    rows = spark.createDataFrame([([64, 50256],), (None,), ([],)], "ids array<int>")
+    assert [r.decoded for r in bpe.decode(rows, PATH).collect()] == ["a<|endoftext|>", "", ""]

@@ -28,7 +28,7 @@ from tiffin.llm.common import add_columns
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 LONG_WORD = 2_000      # symbols; longer words are merged with a heap instead of in rounds
-CACHED_WORDS = 400_000  # words remembered by a task before it starts afresh
+CACHED_WORDS = 150_000  # words remembered by a task before it starts afresh
 NONE = np.iinfo(np.int64).max
 
 
@@ -197,18 +197,33 @@ class Encoder:
 IDS = T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)
 
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Add the token ids of ``text`` under the vocabulary file ``path``; never NULL."""
+def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids",
+           decoded: str | None = None) -> DataFrame:
+    """Add the token ids of ``text`` under the vocabulary file ``path``; never NULL.
+
+    ``decoded`` names a column for the text that these ids decode to, made in the same task.
+    """
     def make():
         encoder = Encoder(path)
 
         def fn(texts: list) -> list[pa.Array]:
             flat, bounds = encoder.encode(texts)
-            return [pa.ListArray.from_arrays(
+            out = [pa.ListArray.from_arrays(
                 pa.array(bounds.astype(np.int32)), pa.array(flat),
                 type=pa.list_(pa.field("element", pa.int32(), False)))]
+            if decoded:
+                out.append(_decoded(encoder.bpe.token, np.split(flat, bounds[1:-1])))
+            return out
         return fn
-    return add_columns(df, text, [T.StructField(ids, IDS.dataType, False)], make)
+    fields = [T.StructField(ids, IDS.dataType, False)]
+    if decoded:
+        fields.append(T.StructField(decoded, T.StringType(), False))
+    return add_columns(df, text, fields, make)
+
+
+def _decoded(token: list[bytes], rows: list) -> pa.Array:
+    return pa.array([b"".join(map(token.__getitem__, () if r is None else r))
+                     .decode("utf-8", "replace") for r in rows], pa.string())
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -218,18 +233,13 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     """
     def make():
         token = Bpe(path).token
-
-        def fn(rows: list) -> list[pa.Array]:
-            return [pa.array([b"".join(map(token.__getitem__, r or ())).decode("utf-8", "replace")
-                              for r in rows], pa.string())]
-        return fn
+        return lambda rows: [_decoded(token, rows)]
     return add_columns(df, ids, [T.StructField(text, T.StringType(), False)], make)
 
 
 def digests(df: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids and of the decoded text."""
-    coded = encode(df.select("doc_id", "text"), path).select(
-        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"))
-    return decode(coded, path).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return encode(df.select("doc_id", "text"), path, decoded="decoded").select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,7 +13,24 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-SLICE_BYTES = 4_000_000  # text handled at once inside a task
+SLICE_BYTES = 2_000_000  # text handled at once inside a task
+
+
+def tidy(run: Callable) -> Callable:
+    """``run`` for mapInArrow, which gives freed memory back to the system when a task ends.
+
+    Python workers are used again by later stages, so what the C allocator keeps of one stage's
+    large arrays would be added to the next one's.
+    """
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # other systems have no such call
+                ctypes.CDLL(None).malloc_trim(0)
+    return wrapped
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,7 +89,7 @@ def add_columns(df: DataFrame, column: str, fields: list[T.StructField],
 
     kept_index = kept.columns.index(column)
     old_index = [kept.columns.index(c) for c in order]
-    return kept.mapInArrow(run, out)
+    return kept.mapInArrow(tidy(run), out)
 
 
 def byte_class(inside: Callable[[int], bool]) -> np.ndarray:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tiffin.llm.common import WORD_BYTES, Words, fresh, slices
+from tiffin.llm.common import WORD_BYTES, Words, fresh, slices, tidy
 
 BLOCK_CHARS = 4_000_000  # characters of benchmark text per block of phrases
 SAMPLE_RATE = 8
@@ -267,7 +267,7 @@ def mark(docs: DataFrame, phrases: Phrases, text: str = "text") -> DataFrame:
                     [part.column(i) for i in range(kept)]
                     + [pa.array(np.diff(bound), pa.int64()), pa.array(spans, span),
                        pa.array(items, pa.list_(pa.string()))], names=out.names)
-    return docs.select(*order).mapInArrow(run, out)
+    return docs.select(*order).mapInArrow(tidy(run), out)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 13,

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiffin.llm.common import NOT_SPACE, Words, mix, slices
+from tiffin.llm.common import NOT_SPACE, Words, mix, slices, tidy
 from tiffin.llm.components import components
 from tiffin.operators import skew
 from tiffin.session import materialise
@@ -110,7 +110,7 @@ def survey(docs: DataFrame, n: int) -> DataFrame:
              pa.array([total[i:i + BLOCK].tobytes() for i in rows], pa.binary())],
             names=["doc_id", "n", "digest", "block", "counters"])
     return docs.mapInArrow(
-        run, "doc_id long, n long, digest binary, block int, counters binary")
+        tidy(run), "doc_id long, n long, digest binary, block int, counters binary")
 
 
 def rarity(surveyed: DataFrame) -> np.ndarray:
@@ -127,7 +127,7 @@ def rarity(surveyed: DataFrame) -> np.ndarray:
                 [pa.array([block], pa.int32()), pa.array([counts.tobytes()], pa.binary())],
                 names=["block", "counters"])
     rows = (surveyed.where("block is not null").select("block", "counters")
-            .repartition("block").mapInArrow(run, "block int, counters binary").collect())
+            .repartition("block").mapInArrow(tidy(run), "block int, counters binary").collect())
     out = np.zeros(BUCKETS, np.int64)
     for block, raw in rows:
         out[block * BLOCK:(block + 1) * BLOCK] += np.frombuffer(raw, np.int64)
@@ -158,7 +158,7 @@ def prefixes(docs: DataFrame, n: int, num: int, den: int, counts: np.ndarray) ->
                  pa.array([len(s) for _, s in rows], pa.int64()), pa.array(weight, pa.int64()),
                  _lists(prefix, pa.int64()), _lists(parts, pa.int32()), _lists(mins, pa.int64())],
                 names=["doc_id", "n", "weight", "prefix", "parts", "mins"])
-    return docs.mapInArrow(run, "doc_id long, n long, weight long, prefix array<long>, "
+    return docs.mapInArrow(tidy(run), "doc_id long, n long, weight long, prefix array<long>, "
                                 "parts array<int>, mins array<long>")
 
 
@@ -197,7 +197,7 @@ def verify(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> Dat
                                                  names=["doc_id", "grams"])
     sets = materialise(
         docs.where("doc_id is not null").select("doc_id", "text", spot)
-        .mapInArrow(make_sets, "doc_id long, grams binary"), "sets")
+        .mapInArrow(tidy(make_sets), "doc_id long, grams binary"), "sets")
 
     def compare(batches):
         for batch in batches:
@@ -214,7 +214,7 @@ def verify(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> Dat
     left = sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("y"))
     return (pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-            .mapInArrow(compare, "a long, b long"))
+            .mapInArrow(tidy(compare), "a long, b long"))
 
 
 def star_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:

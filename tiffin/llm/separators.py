@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tiffin.llm.common import slices
+from tiffin.llm.common import slices, tidy
 from tiffin.session import scratch
 
 END_OF_DOCUMENT = 50256
@@ -59,7 +59,7 @@ def write_token_files(docs: DataFrame, ranks: str, pattern: str, path: str) -> N
                                         strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["value"])
     end = END_OF_DOCUMENT.to_bytes(2, "little").decode("iso-8859-1")
-    (docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "value binary")
+    (docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(run), "value binary")
      .select(F.col("value").cast("string"))
      .write.option("encoding", "iso-8859-1").option("lineSep", end).text(path))
 
@@ -104,7 +104,7 @@ def scan_blocks(blocks: DataFrame, end: int = END_OF_DOCUMENT) -> DataFrame:
                                               pa.array(flat, pa.int64()))],
                     names=["file", "block", "kind", "n", "digits"])
     return blocks.mapInArrow(
-        run, "file string, block int, kind byte, n long, digits array<long>")
+        tidy(run), "file string, block int, kind byte, n long, digits array<long>")
 
 
 def stitch(pieces: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tiffin.llm.common import BASE, BASE_INVERSE, fresh, mix, powers, slices
+from tiffin.llm.common import BASE, BASE_INVERSE, fresh, mix, powers, slices, tidy
 from tiffin.operators import skew
 from tiffin.session import materialise
 
@@ -102,7 +102,7 @@ def anchor_rows(docs: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(gram[first].view(np.int64)),
                      pa.array((tag[text[first]] & ~1) | (count > 1))], names=["gram", "tag"])
-    return docs.select("tag", "text").mapInArrow(run, "gram long, tag long")
+    return docs.select("tag", "text").mapInArrow(tidy(run), "gram long, tag long")
 
 
 def repeated(rows: DataFrame, partitions: int) -> DataFrame:
@@ -147,7 +147,7 @@ def repeated(rows: DataFrame, partitions: int) -> DataFrame:
         if kept is not None:
             yield batch_of(judge(np.array([kept[0]]), np.array([kept[1] | was]), index, True)[0])
     return (rows.repartition(partitions, "gram").sortWithinPartitions("gram", "tag")
-            .mapInArrow(run, "tag long, gram long, part long"))
+            .mapInArrow(tidy(run), "tag long, gram long, part long"))
 
 
 STRETCH = "doc_id long, tag long, place long, gram long, part long, before int, bytes binary"
@@ -190,7 +190,7 @@ def stretches(docs: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
                     names=["doc_id", "tag", "place", "gram", "part", "before", "bytes"])
-    return docs.select("doc_id", "tag", "text", "grams").mapInArrow(run, STRETCH)
+    return docs.select("doc_id", "tag", "text", "grams").mapInArrow(tidy(run), STRETCH)
 
 
 def _sorted_runs(keys: np.ndarray, body: np.ndarray, size: np.ndarray
@@ -286,7 +286,7 @@ def removals(rows: DataFrame, keys: list[str], partitions: int, length: int, aga
     schema = "doc_id long, tag long, low long, high long, alone boolean"
     if again:
         schema += ", place long, gram long, part long, before int, chunks long, bytes binary"
-    return rows.repartition(partitions, *keys).mapInArrow(run, schema)
+    return rows.repartition(partitions, *keys).mapInArrow(tidy(run), schema)
 
 
 REMOVED = T.ArrayType(T.StructType([T.StructField("start", T.LongType()),
@@ -328,7 +328,7 @@ def cut(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in range(width)]
                     + [pa.array(removed, span), pa.array(kept, pa.binary())], names=names)
-    return docs.select(*rest.columns, "marks").mapInArrow(run, schema)
+    return docs.select(*rest.columns, "marks").mapInArrow(tidy(run), schema)
 
 
 def deduplicate(docs: DataFrame, length: int = 100) -> DataFrame:

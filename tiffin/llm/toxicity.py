@@ -8,7 +8,7 @@ restored words and their first letters; a logistic model fitted on a bounded sam
 scores them.
 
 Only the text enters the score. NULL and empty texts have no features and get the model's base rate.
-With no usable labels every score is the same prior. A document labelled twice counts as toxic if
+With labels of one class or none every score is the same prior, a quarter without any. A document labelled twice counts as toxic if
 any of its labels says so.
 """
 
@@ -25,12 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tiffin.llm.common import add_columns, slices
+from tiffin.llm.common import add_columns, slices, tidy
 from tiffin.session import materialise
 
 SAMPLE_ROWS = 20_000  # labelled rows used for fitting, the smallest hashes of doc_id
 CHI_SQUARE = 16.0     # a feature must differ this clearly between the classes
 MIN_DOCUMENTS = 3
+ROWS_PER_TASK = 250   # of the sample, whose features a task holds
+CACHED_WORDS = 150_000
 
 # What a sign may stand for in disguised words.
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t",
@@ -81,7 +83,7 @@ def count_trigrams(df: DataFrame, text: str = "text") -> DataFrame:
         code = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(total[code])],
                                          names=["code", "n"])
-    return (df.select(text).mapInArrow(run, "code long, n long")
+    return (df.select(text).mapInArrow(tidy(run), "code long, n long")
             .groupBy("code").agg(F.sum("n").alias("n")))
 
 
@@ -173,7 +175,7 @@ class Features:
         text = (text or "").lower()
         raw = set(text.split())
         joined = [m.group().replace(" ", "") for m in SPACED.finditer(text)]
-        if len(self.known) > 400_000:
+        if len(self.known) > CACHED_WORDS:
             self.known.clear()
         known, restore = self.known, self.restorer.restore
         out = set()
@@ -204,12 +206,12 @@ def fit(sample: DataFrame, model: np.ndarray) -> tuple[dict[str, float], float]:
             [pa.array(names, pa.string()), pa.array([seen[0][f] for f in names], pa.int64()),
              pa.array([seen[1][f] for f in names], pa.int64())], names=["feature", "n0", "n1"])
     rows = sample.select("text", "toxic")
-    counts = rows.mapInArrow(count, "feature string, n0 long, n1 long").groupBy("feature").agg(
+    counts = rows.mapInArrow(tidy(count), "feature string, n0 long, n1 long").groupBy("feature").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     totals = rows.agg(F.sum(1 - F.col("toxic")).alias("n0"), F.sum("toxic").alias("n1")).first()
     n0, n1 = totals.n0 or 0, totals.n1 or 0
     if not n0 or not n1:
-        return {}, math.log((n1 + 0.5) / (n0 + 0.5))
+        return {}, math.log((n1 + 0.5) / (n0 + 1.5))
     k = F.col("n0") + F.col("n1")
     gap = F.col("n1").cast("double") * n0 - F.col("n0").cast("double") * n1
     chi = gap * gap * (n0 + n1) / (k * (n0 + n1 - k) * F.lit(float(n0)) * F.lit(float(n1)))
@@ -227,7 +229,7 @@ def fit(sample: DataFrame, model: np.ndarray) -> tuple[dict[str, float], float]:
                 [pa.array([list(c) for c in found], pa.list_(pa.int32())),
                  pa.array([list(c.values()) for c in found], pa.list_(pa.int32())),
                  batch.column(1)], names=["at", "n", "toxic"])
-    data = rows.mapInArrow(vectors, "at array<int>, n array<int>, toxic int").collect()
+    data = rows.mapInArrow(tidy(vectors), "at array<int>, n array<int>, toxic int").collect()
     data = sorted(data, key=lambda r: (r.toxic, r.at, r.n))
     return logistic([(r.at, r.n, r.toxic) for r in data], chosen)
 
@@ -284,7 +286,8 @@ def classify(docs: DataFrame, corpus: DataFrame, labels: DataFrame,
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     # The sample has at most `sample` rows of two numbers, which bounds the broadcast.
     rows = materialise(corpus.select("doc_id", "text").join(F.broadcast(marked), "doc_id")
-                       .select("text", "toxic"), "toxic-sample")
+                       .select("text", "toxic").repartition(1 + sample // ROWS_PER_TASK),
+                       "toxic-sample")
     return score(docs, model, *fit(rows, model), out=out)
 
 
