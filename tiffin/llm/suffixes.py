@@ -150,11 +150,17 @@ def repeated(rows: DataFrame, partitions: int) -> DataFrame:
             .mapInArrow(tidy(run), "tag long, gram long, part long"))
 
 
-STRETCH = "doc_id long, tag long, place long, gram long, part long, before int, bytes binary"
+STRETCH = ("doc_id long, tag long, place long, gram long, part long, before int, bytes binary, "
+           "low long, high long")
 
 
 def stretches(docs: DataFrame, length: int) -> DataFrame:
-    """The bytes around each repeated anchor; ``docs`` has grams (array of gram, part)."""
+    """The bytes around each repeated anchor; ``docs`` has grams (array of gram, part).
+
+    Of equal stretches within one text only the first travels: all strings through the others start
+    earlier in this text already. What they remove comes as rows without bytes, one per merged run,
+    so a text of one line over and over is no hot key.
+    """
     reach = length - GRAM
 
     def run(batches):
@@ -164,7 +170,7 @@ def stretches(docs: DataFrame, length: int) -> DataFrame:
                 raw = _raw(part.column(2).to_pylist())
                 text, place, gram = anchors(raw, length)
                 bounds = np.searchsorted(text, np.arange(len(raw) + 1))
-                cols: list[list] = [[], [], [], [], [], [], []]
+                cols: list[list] = [[], [], [], [], [], [], [], [], []]
                 for i, wanted in enumerate(part.column(3)):
                     a, b = bounds[i], bounds[i + 1]
                     if a == b:
@@ -180,16 +186,32 @@ def stretches(docs: DataFrame, length: int) -> DataFrame:
                     hit = np.flatnonzero(known[at] == here)
                     doc_id, tag = part.column(0)[i].as_py(), part.column(1)[i].as_py()
                     body = raw[i]
+                    seen: set = set()
+                    gone: list[list[int]] = []
                     for p, g, c in zip(place[a:b][hit].tolist(), here[hit].tolist(),
                                        chunk[at[hit]].tolist(), strict=True):
                         before = min(p, reach)
-                        for col, v in zip(cols, (doc_id, tag, p, g, c, before,
-                                                 body[p - before:p + length]), strict=True):
+                        piece = body[p - before:p + length]
+                        if (before, piece) not in seen:
+                            seen.add((before, piece))
+                            row = (doc_id, tag, p, g, c, before, piece, -1, -1)
+                            for col, v in zip(cols, row, strict=True):
+                                col.append(v)
+                        elif len(piece) >= length:
+                            low, end = p - before, min(p + length, len(body))
+                            if gone and low <= gone[-1][1]:
+                                gone[-1][1] = end
+                            else:
+                                gone.append([low, end])
+                    for low, end in gone:
+                        row = (doc_id, tag, low, tag ^ low, 0, 0, None, low, end - length)
+                        for col, v in zip(cols, row, strict=True):
                             col.append(v)
-                kinds = [pa.int64()] * 5 + [pa.int32(), pa.binary()]
+                kinds = [pa.int64()] * 5 + [pa.int32(), pa.binary(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
-                    names=["doc_id", "tag", "place", "gram", "part", "before", "bytes"])
+                    names=["doc_id", "tag", "place", "gram", "part", "before", "bytes", "low",
+                           "high"])
     return docs.select("doc_id", "tag", "text", "grams").mapInArrow(tidy(run), STRETCH)
 
 
@@ -259,12 +281,26 @@ def judge(doc: np.ndarray, tag: np.ndarray, place: np.ndarray, gram: np.ndarray,
 def removals(rows: DataFrame, keys: list[str], partitions: int, length: int, again: bool
              ) -> DataFrame:
     """Judge stretches; every row comes back with low, high, and ``alone`` where a start is left.
-    Bytes come back only with ``again``, for rows that must be judged once more."""
+    Bytes come back only with ``again``, for rows that must be judged once more. Rows without bytes
+    have been judged and pass through."""
+    names = ["doc_id", "tag", "low", "high", "alone"]
+    if again:
+        names += ["place", "gram", "part", "before", "chunks", "bytes"]
+
     def run(batches):
         parts = [b for b in batches if b.num_rows]
         if not parts:
             return
-        whole = pa.Table.from_batches(parts).combine_chunks()
+        every = pa.Table.from_batches(parts).combine_chunks()
+        whole = every.filter(every.column("bytes").is_valid())
+        known = every.filter(every.column("bytes").is_null())
+        if known.num_rows:
+            blank = {"alone": pa.array(np.zeros(known.num_rows, bool))}
+            yield pa.RecordBatch.from_arrays(
+                [blank[n] if n in blank else known.column(n).combine_chunks() for n in names],
+                names=names)
+        if not whole.num_rows:
+            return
         col = {c: whole.column(c).to_numpy() for c in ("doc_id", "tag", "place", "gram", "part",
                                                        "before", "chunks")}
         group = mix(col["gram"].view(np.uint64) ^ mix(col["part"].view(np.uint64))) \
@@ -276,12 +312,10 @@ def removals(rows: DataFrame, keys: list[str], partitions: int, length: int, aga
         keep = (low >= 0) | once
         out = [pa.array(col["doc_id"][keep]), pa.array(col["tag"][keep]), pa.array(low[keep]),
                pa.array(high[keep]), pa.array(once[keep])]
-        names = ["doc_id", "tag", "low", "high", "alone"]
         if again:
             out += [pa.array(col[c][keep]) for c in ("place", "gram", "part", "before", "chunks")]
             out.append(pa.array([b if o else None for b, o, k in
                                  zip(body, once, keep, strict=True) if k], pa.binary()))
-            names += ["place", "gram", "part", "before", "chunks", "bytes"]
         yield pa.RecordBatch.from_arrays(out, names=names)
     schema = "doc_id long, tag long, low long, high long, alone boolean"
     if again:
@@ -360,7 +394,7 @@ def deduplicate(docs: DataFrame, length: int = 100) -> DataFrame:
     if counts.part:
         found = materialise(removals(around, ["gram", "part"], partitions, length, True), "judged")
         more = removals(found.where("alone").select(
-            "doc_id", "tag", "place", "gram", "part", "before", "bytes", "chunks"),
+            "doc_id", "tag", "place", "gram", "part", "before", "bytes", "chunks", "low", "high"),
             ["gram"], partitions, length, False)
         spans = found.select("doc_id", "tag", "low", "high").unionByName(
             more.select("doc_id", "tag", "low", "high"))
