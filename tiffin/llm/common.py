@@ -10,7 +10,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLICE_BYTES = 2_000_000  # text handled at once inside a task
@@ -37,6 +38,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def hashed_part(h: Column, wanted: int, of: int) -> Column:
+    """True for about ``wanted`` of ``of`` rows, by a hash. Before a sorted limit it keeps what tasks
+    send for the limit from growing with their number."""
+    return h.bitwiseAND(F.lit(2**63 - 1)) <= F.lit(
+        2**63 - 1 if wanted >= of else 2**63 // of * wanted)
+
+
 def fresh(df: DataFrame, *names: str) -> DataFrame:
     """Drop the columns of ``df`` that an operator is about to write."""
     taken = {n.lower() for n in names}

@@ -24,10 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tiffin.llm.common import add_columns
+from tiffin.llm.common import add_columns, hashed_part
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 2_000
+SAMPLE_SHARE = 16  # texts looked at per text wanted, as not all have a trigger
 SAMPLE_REGIONS = 1_500
 MAX_TOKENS = 12
 MIN_PROBABILITY = 0.95
@@ -284,12 +285,14 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE_DOCS) -> Sem
 
     The sample is drawn among texts with an at sign or a run of digits, by the hash of the text.
     """
-    t = F.col(text)
-    picked = (docs.select(t.alias("text")).where(t.rlike(r"[0-9]{3}|@"))
-              .select("text", F.xxhash64("text").alias("h")).orderBy("h", "text").limit(sample))
+    h = F.xxhash64("text")
+    some = docs.select(F.col(text).alias("text")).where(
+        hashed_part(h, SAMPLE_SHARE * sample, docs.count()))
     # One stretch per document around its first trigger is enough to learn from.
     place = F.greatest(F.regexp_instr("text", F.lit(r"[0-9]{3}|@")) - 60, F.lit(1))
-    rows = picked.select("h", F.substring("text", place, F.lit(160)).alias("part"))
+    rows = (some.where(F.col("text").rlike(r"[0-9]{3}|@"))
+            .select(h.alias("h"), F.substring("text", place, F.lit(160)).alias("part"))
+            .orderBy("h", "part").limit(sample))
     texts = [r.part for r in rows.collect()]
     examples = _examples(texts)
     return SemiMarkov().fit(examples[:SAMPLE_REGIONS])

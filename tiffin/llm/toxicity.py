@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tiffin.llm.common import add_columns, slices, tidy
+from tiffin.llm.common import add_columns, hashed_part, slices, tidy
 from tiffin.session import materialise
 
 SAMPLE_ROWS = 20_000  # labelled rows used for fitting, the smallest hashes of doc_id
@@ -280,8 +280,10 @@ def classify(docs: DataFrame, corpus: DataFrame, labels: DataFrame,
     """Add the score to ``docs``; the character model is counted and the classifier fitted on
     ``corpus`` (doc_id, text) and ``labels`` (doc_id, toxic), without the held-out fifth."""
     model = log_model([(r.code, r.n) for r in count_trigrams(corpus).collect()])
+    h = F.xxhash64("doc_id")
     marked = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)
-                           & ~held_out(F.col("doc_id")))
+                           & ~held_out(F.col("doc_id")) & hashed_part(h, 3 * sample,
+                                                                      labels.count()))
               .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     # The sample has at most `sample` rows of two numbers, which bounds the broadcast.
