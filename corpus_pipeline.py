@@ -36,8 +36,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     found = materialise(jaccard.join(docs.select("doc_id", "text"), SHINGLE_WORDS, SIMILAR, OF),
                         "near-duplicates")
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = materialise(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    # A bitmap clears most documents without a join; only texts it does not clear are shuffled.
+    asked = jaccard.maybe_seen(docs, gone, "_maybe_gone")
+    kept = asked.where("not _maybe_gone").select(*docs.columns).unionByName(
+        asked.where("_maybe_gone").join(gone, "doc_id", "left_anti").select(*docs.columns))
     repeated = materialise(found.where("doc_id is not null").groupBy("doc_id").count()
                            .where("count > 1").select("doc_id"), "repeated")
     if repeated.isEmpty():

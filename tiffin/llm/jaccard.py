@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiffin.llm.common import NOT_SPACE, Words, mix, slices, tidy
@@ -162,19 +162,36 @@ def prefixes(docs: DataFrame, n: int, num: int, den: int, counts: np.ndarray) ->
                                 "parts array<int>, mins array<long>")
 
 
-def _seen(ids: DataFrame) -> np.ndarray:
-    """Bitmap of hashed ids; ``SEEN_BITS`` bits however many ids there are."""
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(SEEN_BITS)) + 1
-    rows = (ids.select(spot.alias("h"))
-            .groupBy(F.expr("bitmap_bucket_number(h)").alias("k"))
-            .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(h))").alias("bits")).collect())
+def _spot() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(SEEN_BITS)) + 1
+
+
+def seen_table(ids: DataFrame) -> DataFrame:
+    """(k, bits): bitmap of hashed ids, ``SEEN_BITS`` bits in rows of 4 KB however many ids."""
+    return (ids.select(_spot().alias("h")).groupBy(F.expr("bitmap_bucket_number(h)").alias("k"))
+            .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(h))").alias("bits")))
+
+
+def seen_bits(ids: DataFrame) -> np.ndarray:
     out = np.zeros(SEEN_BITS // 8, np.uint8)
-    for k, bits in rows:
+    for k, bits in seen_table(ids).collect():
         start = (k - 1) * 4096
         out[start:start + 4096] = np.frombuffer(bits, np.uint8)[:len(out) - start]
     return out
 
 
+def maybe_seen(docs: DataFrame, ids: DataFrame, out: str) -> DataFrame:
+    """Add whether the bitmap of ``ids`` leaves it open that a row's doc_id is among them; never
+    NULL. The bitmap has ``SEEN_BITS`` / 8 bytes at most, which bounds the broadcast."""
+    table = materialise(seen_table(ids), "bitmap")
+    rows = docs.withColumn("_h", _spot())
+    byte = F.expr("conv(hex(substring(bits, cast(bitmap_bit_position(_h) div 8 as int) + 1, 1)),"
+                  " 16, 10)").cast("long")
+    bit = F.floor(byte / F.pow(F.lit(2.0), F.expr("bitmap_bit_position(_h) % 8"))) % 2
+    joined = rows.join(F.broadcast(table), F.expr("bitmap_bucket_number(_h)") == F.col("k"), "left")
+    return joined.select(*docs.columns, F.coalesce(bit == 1, F.lit(False)).alias(out))
+
+
 def verify(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Pairs (a, b) whose exact sets reach the threshold.
 
@@ -183,7 +200,7 @@ def verify(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> Dat
     """
     pairs = materialise(pairs, "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
-    seen = _seen(ids)
+    seen = seen_bits(ids)
     spot = F.pmod(F.xxhash64("doc_id"), F.lit(SEEN_BITS)).alias("spot")
 
     def make_sets(batches):
