@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tiffin.llm import (bpe, chat, divergence, divergence_sql, fmindex, jaccard, pii, separators,
-                        suffixes, toxicity, windows)
+from tiffin.llm import (bpe, chat, divergence, divergence_sql, fmindex, jaccard, mixing, pii,
+                        prefix_trie, separators, suffixes, toxicity, trie_sql, turn_repair, windows)
 from tiffin.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,18 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_bpe")
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+@query("op11_prefix_trie", trie_sql.SQL)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_systematic_mix", mixing.SQL)
+def op12_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents"))
+
+
+@query("op13_auction_repair", turn_repair.SQL)
+def op13_auction_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.digests(table(spark, sf_dir, "conversations"))
