@@ -9,8 +9,8 @@ breaks off is not deleted. Blank and repeated rows can only be deleted. The repa
 Nodes have prices that never exceed an arc's cost plus the price at its end. A path grows from an
 origin: if the last node's price is below the best of its arcs, the price is raised to it and the
 path gives the node up (contraction); else the best arc is tight and the path takes it (extension).
-Nodes of the last row are auctioned first, so a path ends where an earlier one has settled, and the
-work is linear in the number of rows. All prices are then exact distances, every tight arc lies on a
+Nodes of the last row are auctioned first, a path ends where an earlier one has settled, and a row's
+prices start at the least of the row after it, so the work is linear in the number of rows. All prices are then exact distances, every tight arc lies on a
 cheapest repair, and the one whose edits read least in ASCII order is traced arc by arc.
 
 Definitions. NULL role or text is one space, a NULL turn or conv_id one space where it is spelt out.
@@ -79,6 +79,9 @@ def settle(rows: tuple[str, ...]) -> list[int]:
             yield cost, 4 * (i + used) + to
 
     for origin in range(end - 1, -1, -1):
+        i, state = divmod(origin, 4)
+        if state == ASSISTANT and i < n:  # a row's nodes start as low as the row after them
+            price[4 * i:4 * i + 4] = [min(price[4 * i + 4:4 * i + 8])] * 4
         path = [origin]
         while not settled[path[-1]]:
             last = path[-1]
