@@ -87,15 +87,37 @@ def test_other_dimension_is_an_error(spark):
         vectors.top_k(corpus, query, 1).collect()
 
 
-def test_query_batches(spark, monkeypatch):
-    monkeypatch.setattr(vectors, "QUERY_BATCH", 2)
-    df = spark.createDataFrame([(str(i), [1.0, float(i)]) for i in range(7)],
-                               "review_id string, vector array<double>")
-    assert vectors.top_k(df, df, 2).count() == 14
+@pytest.mark.parametrize("query_block,corpus_block", [(1, 1), (3, 7), (1000, 50)])
+def test_blocks_of_any_size(spark, query_block, corpus_block):
+    """Ties of exact copies over many blocks go to the smaller id."""
+    rng = np.random.default_rng(5)
+    data = rng.normal(size=(60, 4))
+    data[10:40] = data[10]
+    df = spark.createDataFrame([(str(i), v.tolist()) for i, v in enumerate(data)],
+                               "review_id string, vector array<double>").repartition(6)
+    got = {}
+    queries = df.filter("cast(review_id as int) % 9 = 1")
+    for r in vectors.top_k(df, queries, 4, query_block, corpus_block).collect():
+        got.setdefault(int(r["query_id"]), []).append((r["position"], r["review_id"]))
+    unit = data / np.linalg.norm(data, axis=1, keepdims=True)
+    for q in range(1, 60, 9):
+        score = np.round(unit @ unit[q], 12)
+        want = sorted(range(60), key=lambda i: (-score[i], str(i)))[:4]
+        assert [int(i) for _, i in sorted(got[q])] == want
+
+
+def test_nothing_passes_the_driver(spark):
+    """Query vectors stay rows: the plan joins blocks by key, with no nested loop and no local
+    table."""
+    df = spark.range(100).selectExpr("cast(id as string) as review_id",
+                                     "array(cast(id as double), 1D) as vector")
+    plan = vectors.top_k(df, df, 3, 10, 10)._jdf.queryExecution().toString()
+    assert "SortMergeJoin" in plan and "NestedLoop" not in plan and "LocalTableScan" not in plan
 
 
 def test_zero_vectors_come_last(spark):
-    rows = [("a", [1.0, 0.0]), ("b", [0.0, 0.0]), ("c", [-1.0, 0.0])]
+    rows = [("a", [1.0, 0.0]), ("b", [0.0, 0.0]), ("c", [-1.0, 0.0]), ("d", None)]
     df = spark.createDataFrame(rows, "review_id string, vector array<double>")
-    got = vectors.top_k(df, df.filter("review_id = 'a'"), 3).orderBy("position").collect()
-    assert [(r["review_id"], r["score"]) for r in got] == [("a", 1.0), ("c", -1.0), ("b", None)]
+    got = vectors.top_k(df, df.filter("review_id = 'a'"), 4).orderBy("position").collect()
+    assert [(r["review_id"], r["score"]) for r in got] == [("a", 1.0), ("c", -1.0), ("b", None),
+                                                          ("d", None)]
