@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -43,6 +45,31 @@ def test_a_hot_value_spreads_over_files(spark, rows):
     assert tables.file_stats(spark.read.parquet(path)).first()["n_files"] == 8
 
 
+def test_measured_bytes_and_disparity(spark, rows):
+    """Bytes are those of the tasks, a filter on the cluster column reads few of them; a layout that
+    lost a row is found."""
+    paths = {n: scratch(spark, n) for n in ("plain", "near", "less")}
+    layout.compacted(rows, paths["plain"], 16)
+    layout.clustered(rows, paths["near"], ["zone_id"], 16)
+    layout.compacted(rows.filter("order_id > 0"), paths["less"], 16)
+    queries = {"zone": "select count(*), sum(price) from {t} where zone_id = 3",
+               "all": "select count(*), sum(price), sum(order_id) from {t}"}
+    found = layout.measured(spark, paths, queries)
+    size = {(r["layout"], r["query_name"]): r["bytes_scanned"] for r in found.collect()}
+    assert size["near", "zone"] * 3 < size["plain", "zone"]
+    assert size["near", "all"] * 2 > size["plain", "all"] > 0
+    assert [r[0] for r in layout.disparity(found).collect()] == ["all"]
+    assert layout.disparity(found.filter("layout <> 'less'")).count() == 0
+
+
+def test_file_statistics(spark, rows):
+    path = scratch(spark, "files")
+    layout.compacted(rows, path, 5)
+    names = [p for p in Path(path.removeprefix("file:")).iterdir() if p.suffix == ".parquet"]
+    assert tuple(tables.file_stats(spark.read.parquet(path)).first()) == (
+        5, sum(p.stat().st_size for p in names), 40_000)
+
+
 RESULTS = "layout string, query_name string, duration_ms double, bytes_scanned long"
 
 

@@ -3,10 +3,13 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tiffin.operators import measure
 from tiffin.session import scratch
 from tiffin.sources import landing
+from tiffin.sources.keyed import KeyedTable
 from tiffin.streaming import gold, silver
 from tiffin.streaming.ingest import BronzeStream
+from tiffin.streaming.progress import finish
 
 COLUMNS = ["event_id", "order_id", "event_type", "occurred_at", "received_at"]
 
@@ -113,3 +116,56 @@ def test_rows_past_the_watermark_are_reported(spark):
     assert target.read().count() == 1
     lagged = silver.typed(spark.read.json(stream.landing))
     assert gold.measured_lag(lagged).first()["watermark_hours"] == 20 * 24 + 1
+
+
+def test_dropped_rows_are_counted_exactly(spark):
+    """A watermark that is too short, several batches per run: rows read are rows kept and dropped."""
+    stream = feed(spark, max_files=1)
+    root = scratch(spark, "dropped-test")
+    path, kept = f"{root}/timely", 0
+    for i, (hour, n) in enumerate([(12, 40), (3, 20), (11, 10)]):
+        rows = events(spark, 100 * i, n).coalesce(2).withColumn(
+            "occurred_at", F.lit(f"2026-09-08 {hour:02d}:00:00"))
+        landing.write_shard(rows, stream.landing, i, "json")
+        run = finish(gold.timely(silver.typed(stream.source()), "2 hours").writeStream
+                     .format("parquet").option("path", path)
+                     .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+                     .start())
+        assert (run.rows_in, run.rows_dropped) == (n, n if hour == 3 else 0)
+        kept += run.rows_in - run.rows_dropped
+        assert spark.read.parquet(path).count() == kept
+    assert gold.watermark_for(silver.typed(spark.read.json(stream.landing))) == "9 hours"
+
+
+def test_lookups_read_the_ranges_of_the_batch(spark):
+    """Bytes follow the batch: shown by the plan and by what tasks read."""
+    rows = spark.range(200_000).select(F.col("id").alias("order_id"),
+                                       F.xxhash64("id").alias("zone_id"))
+    table = KeyedTable(spark, scratch(spark, "keyed"), "order_id", 10_000).write(rows)
+    few = spark.createDataFrame([(15_000,), (15_001,), (None,), (999_999_999,)], "order_id long")
+    plan = table.near(few.filter("order_id < 20000"))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(_range" in plan and "(_range" in plan and "= 1)" in plan
+    assert "PushedFilters: [IsNotNull(order_id), GreaterThanOrEqual(order_id,15000)" in plan
+    got = {r["order_id"]: r["zone_id"] for r in table.attach(few).collect()}
+    assert got[None] is None and got[999_999_999] is None and got[15_000] is not None
+    near, whole = (measure.scanned(spark, lambda f=f: measure.parquet(spark, table.path).filter(f)
+                                   .agg(F.max("zone_id")).collect()).n_bytes
+                   for f in ("_range = 1", "true"))
+    assert near * 15 < whole
+    empty = table.attach(few.filter("order_id < 0"))
+    assert empty.columns == ["order_id", "zone_id"] and empty.count() == 0
+
+
+def test_enriched_events_follow_the_table(spark):
+    """A batch sees the static table as it is when the batch runs; a missing order keeps its event."""
+    stream = feed(spark)
+    root = scratch(spark, "enrich-test")
+    zones = KeyedTable(spark, f"{root}/zones", "order_id", 3)
+    for i, zone in enumerate((10, 20)):
+        zones.write(spark.range(5).select(F.col("id").alias("order_id"),
+                                          F.lit(zone).cast("long").alias("zone_id")))
+        landing.write_shard(events(spark, 9 * i, 9).coalesce(2), stream.landing, i, "json")
+        silver.enrich(stream.source(), zones, f"{root}/out", f"{root}/ckpt").awaitTermination()
+    got = silver.enriched(spark, f"{root}/out", "event_id long, order_id long, zone_id long", False)
+    want = {(e, e % 9, (10 if e < 9 else 20) if e % 9 < 5 else None) for e in range(18)}
+    assert {tuple(r) for r in got.collect()} == want

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import time
+import hashlib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tiffin.operators import measure
+
 
 def compacted(df: DataFrame, path: str, files: int) -> None:
     df.repartition(files).write.mode("overwrite").parquet(path)
@@ -115,12 +117,17 @@ def column_statistics(spark: SparkSession, table: str) -> None:
     spark.sql(f"analyze table {table} compute statistics for all columns")
 
 
-LAYOUTS = {
-    "compacted": lambda df, path, files: compacted(df, path, files),
-    "partitioned": lambda df, path, files: partitioned(df, path, "month"),
-    "z_ordered": lambda df, path, files: z_ordered(df, path, ["zone_id"], files),
-    "clustered": lambda df, path, files: clustered(df, path, ["zone_id"], files),
-}
+def layouts(day: str, cluster: str) -> dict:
+    """The compared layouts of a table: by chance, by day, along a curve, in ranges of a column."""
+    return {
+        "compacted": lambda df, path, files: compacted(df, path, files),
+        "partitioned": lambda df, path, files: partitioned(df, path, day),
+        "z_ordered": lambda df, path, files: z_ordered(df, path, [cluster], files),
+        "clustered": lambda df, path, files: clustered(df, path, [cluster], files),
+    }
+
+
+LAYOUTS = layouts("date_day", "zone_id")
 
 # The fixed query set of the benchmark.
 QUERIES = {
@@ -133,16 +140,28 @@ QUERIES = {
 }
 
 
-def durations(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Every query once per layout, one after the other, in milliseconds."""
+def measured(spark: SparkSession, paths: dict[str, str], queries: dict[str, str] | None = None,
+             **others: DataFrame) -> DataFrame:
+    """Every query once per layout, one after the other: milliseconds, and the bytes that its tasks
+    read. A query names its table ``{t}``; its result is small (a total or a top list), and
+    ``result`` is a digest of it that does not depend on the order of rows."""
     rows = []
     for name, path in paths.items():
-        table = spark.read.parquet(path)
-        for query, sql in QUERIES.items():
-            start = time.perf_counter()
-            spark.sql(sql, t=table).write.format("noop").mode("overwrite").save()
-            rows.append((name, query, (time.perf_counter() - start) * 1000))
-    return spark.createDataFrame(rows, "layout string, query_name string, duration_ms double")
+        table = measure.parquet(spark, path)
+        for query, sql in (queries or QUERIES).items():
+            read = measure.scanned(spark, lambda sql=sql, table=table: spark.sql(
+                sql, t=table, **others).collect())
+            lines = "\n".join(sorted(str(tuple(r)) for r in read.result))
+            rows.append((name, query, read.milliseconds, read.n_bytes,
+                         hashlib.sha256(lines.encode()).hexdigest()))
+    return spark.createDataFrame(rows, "layout string, query_name string, duration_ms double, "
+                                       "bytes_scanned long, result string")
+
+
+def disparity(results: DataFrame) -> DataFrame:
+    """Queries that do not give the same result in every layout."""
+    return results.groupBy("query_name").agg(F.countDistinct("result").alias("n")) \
+        .filter("n > 1").select("query_name")
 
 
 def apply_winner(df: DataFrame, results: DataFrame, path: str, files: int) -> str:

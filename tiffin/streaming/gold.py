@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tiffin.sources.tables import VersionedTable
+from tiffin.streaming.progress import Run, finish
 
 WINDOW = "5 minutes"
 MARGIN_HOURS = 1
@@ -27,15 +28,31 @@ def measured_lag(events: DataFrame) -> DataFrame:
         (F.ceil(F.col("max_lag_seconds") / 3600) + MARGIN_HOURS).cast("bigint"))
 
 
-def windowed(events: DataFrame, zones: DataFrame, watermark: str, late_after: int) -> DataFrame:
+def watermark_for(events: DataFrame) -> str:
+    """The watermark that keeps every row of such data: a function of its measured lag."""
+    return f"{measured_lag(events).first()['watermark_hours'] or MARGIN_HOURS} hours"
+
+
+def timely(events: DataFrame, watermark: str) -> DataFrame:
+    """Each event once, without those behind the watermark.
+
+    Every row reaches the state as it came, so the progress of this stream counts dropped rows
+    exactly; an aggregation would count groups. The state holds the events within the watermark.
+    """
+    return events.withWatermark("occurred_at", watermark).dropDuplicates(
+        ["event_id", "occurred_at"])
+
+
+def windowed(events: DataFrame, zones: DataFrame | None, watermark: str, late_after: int
+             ) -> DataFrame:
     """Counts per window, zone and type.
 
-    ``zones`` (order_id, zone_id) is static and read again in every batch; there is no broadcast
-    hint because it grows with the orders. A row is late by its own arrival lag, measured before
-    the watermark can drop it.
+    ``zones`` (order_id, zone_id) is a small static table that is read whole in every batch; None
+    if the events carry their zone (``silver.enrich`` looks it up for the keys of a batch). A row is
+    late by its own arrival lag, measured before the watermark can drop it.
     """
     timed = events.withWatermark("occurred_at", watermark)
-    joined = timed.join(zones, "order_id", "left")
+    joined = timed if zones is None else timed.join(zones, "order_id", "left")
     late = (F.col("lag_seconds") > late_after).cast("bigint")
     grouped = joined.groupBy(F.window("occurred_at", WINDOW), "zone_id", "event_type").agg(
         F.count(F.lit(1)).alias("n_events"), F.sum(late).alias("n_late_events"),
@@ -57,3 +74,8 @@ def run(counts: DataFrame, target: VersionedTable, checkpoint: str) -> Streaming
         target.upsert(df, KEYS, app="gold_windows", batch_id=batch_id)
     return (counts.writeStream.foreachBatch(write).outputMode("update")
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def run_to_end(counts: DataFrame, target: VersionedTable, checkpoint: str) -> Run:
+    """As ``run``, and wait; gives the rows read and dropped over all batches."""
+    return finish(run(counts, target, checkpoint))

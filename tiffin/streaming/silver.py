@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tiffin.functions.clock import seconds_between
 from tiffin.operators.slices import first_per_key
+from tiffin.sources.keyed import KeyedTable
 from tiffin.sources.tables import VersionedTable
 
 APP = "silver_events"
@@ -51,3 +52,25 @@ def run(source: DataFrame, target: VersionedTable, checkpoint: str) -> Streaming
     return (source.writeStream.foreachBatch(lambda df, i: upsert_batch(target, df, i) and None)
             .option("checkpointLocation", checkpoint).outputMode("update")
             .trigger(availableNow=True).start())
+
+
+def enrich(source: DataFrame, static: KeyedTable, path: str, checkpoint: str) -> StreamingQuery:
+    """Typed events with the columns of a static table, as it is when each batch runs.
+
+    The batch says which ranges of the table are read. A batch has its own folder, which a repeated
+    delivery writes again.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = typed(batch).persist()
+        try:
+            static.attach(rows).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finally:
+            rows.unpersist()
+    return (source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def enriched(spark: SparkSession, path: str, schema: str, stream: bool) -> DataFrame:
+    """What ``enrich`` wrote, as a table or as the next stream's source."""
+    reader = spark.readStream if stream else spark.read
+    return reader.schema(schema).option("recursiveFileLookup", "true").parquet(path)
