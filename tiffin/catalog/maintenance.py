@@ -77,13 +77,10 @@ def s05(b: Bronze):
     days = _daily(b).select("order_id", "day")
     shifted = days.withColumn("order_id", F.col("order_id") + F.floor(
         F.datediff("day", first) / 365).cast("bigint") * block)
-    # One partition per chunk, named by its first day.
-    chunk_start = F.date_add(first, F.floor(F.datediff("day", first) / 365).cast("int") * 365)
-    table = tables.VersionedTable(b.spark, scratch(b.spark, "backfill"), shifted.schema,
-                                  chunk_start)
-    tables.backfill(shifted, "day", plan, table)
-    tables.backfill(shifted, "day", plan.filter("chunk = 1"), table)
-    return table.read()
+    path = scratch(b.spark, "backfill")
+    tables.backfill(shifted, "day", plan, path)
+    tables.backfill(shifted, "day", plan.filter("chunk = 1"), path)
+    return b.spark.read.parquet(path).select("order_id", "day")
 
 
 @query("s06_csv_landing", """select cast(order_id as varchar) as order_id, delivery_notes,

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tiffin.lineage import sources
+
 SAMPLE = 6
 
 
@@ -160,6 +162,20 @@ def no_answer_key(lineage: dict[str, Iterable[str]], prefix: str = "_gen_") -> N
         raise ContractError(f"models read the answer key: {bad}")
 
 
+def forbidden_sources(models: dict[str, DataFrame], forbidden: Iterable[str]) -> dict[str, list[str]]:
+    """Models whose own plan reads a forbidden table, and which."""
+    closed = set(forbidden)
+    found = {name: sorted(sources(df) & closed) for name, df in models.items()}
+    return {name: tables for name, tables in found.items() if tables}
+
+
+def no_forbidden_source(models: dict[str, DataFrame], forbidden: Iterable[str]) -> None:
+    """Raises before anything is written when a mart reads the answer key."""
+    bad = forbidden_sources(models, forbidden)
+    if bad:
+        raise ContractError(f"models read the answer key: {bad}")
+
+
 # -- layer gate ----------------------------------------------------------------------------
 
 

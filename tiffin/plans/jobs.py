@@ -93,6 +93,7 @@ def build_layers(bronze: Callable[[str], DataFrame], out: str, salt: str) -> dic
         "dim_rider": marts.dim_rider(staging.passed(bronze("riders"), "riders")),
         "fct_orders": marts.fct_orders(marts.order_economics(orders, items, refunds)),
         "fct_deliveries": marts.fct_deliveries(matching, orders)}
+    quality.no_forbidden_source(models, marts.ANSWER_KEY)
     counts: dict[str, int] = {}
 
     beside = f"{out.rstrip('/')}/_unchecked-{uuid.uuid4().hex}"

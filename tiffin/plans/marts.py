@@ -131,3 +131,6 @@ LINEAGE = {
     "dim_date": ["stg_demand_daily"], "dim_restaurant": ["stg_restaurants"],
     "dim_rider": ["stg_riders"],
 }
+
+# Tables that only judge results; a mart that reads one, also through a copy, is refused.
+ANSWER_KEY = ["labels"]

@@ -11,6 +11,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tiffin.lineage import copied
+
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
@@ -60,4 +62,5 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
+    copied(path, df)
     return spark.read.schema(df.schema).parquet(path)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tiffin.lineage import copied
 from tiffin.operators.quality import Contract, enforce
 
 _LOG = "_part string, _version bigint, _replaces boolean, _app string, _batch bigint"
@@ -27,9 +28,15 @@ def overwrite(df: DataFrame, contract: Contract, path: str, name: str = "table")
     fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
     enforce(df, contract, name).write.parquet(fresh)
     swap(df.sparkSession, fresh, path)
+    copied(path, df)
     return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def swap(spark: SparkSession, fresh: str, path: str) -> None:
     """Put the folder ``fresh`` in the place of ``path``; the old folder is kept until then."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
@@ -200,17 +207,19 @@ def check_capacity(projected: int, blocks: int, block_size: int) -> None:
         raise CapacityError(f"{projected} rows do not fit in {blocks} blocks of {block_size} ids")
 
 
-def backfill(source: DataFrame, day: str, plan: DataFrame, table: VersionedTable) -> list[int]:
-    """Write a lazy source chunk by chunk, in order, each as a slice replacement, so that any chunk
-    can be run again. The plan has one row per chunk, a handful."""
-    done = []
-    for row in plan.orderBy("chunk").collect():
-        start, end = row["chunk_start"].isoformat(), row["chunk_end"].isoformat()
-        rows = source.filter((F.col(day) >= F.lit(start).cast("date"))
-                             & (F.col(day) < F.lit(end).cast("date")))
-        table.replace(rows, (F.col("_part") >= start) & (F.col("_part") < end))
-        done.append(row["chunk"])
-    return done
+def backfill(source: DataFrame, day: str, plan: DataFrame, path: str) -> None:
+    """Write the days of all chunks of ``plan`` (chunk, chunk_start, chunk_end) in one pass.
+
+    Each chunk is a folder named by its first day, and the write replaces the folders that it
+    touches and no other, so any chunk can be run again. A row finds its chunk by a join on the
+    days of the plan, which are as many as the window has. A chunk without rows in the source
+    keeps what it had.
+    """
+    days = plan.select("chunk_start", F.explode(F.sequence(
+        "chunk_start", F.date_sub("chunk_end", 1))).alias("_day"))
+    rows = source.join(days, source[day] == F.col("_day")).drop("_day")
+    (rows.hint("rebalance", F.col("chunk_start")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("chunk_start").parquet(path))
 
 
 # -- statistics --------------------------------------------------------------------------------
@@ -225,6 +234,30 @@ def file_stats(df: DataFrame) -> DataFrame:
                         F.sum("n").alias("n_rows"))
 
 
+def fingerprint(df: DataFrame, by: list[str]) -> DataFrame:
+    """Per value of ``by``: rows, and sum and xor of row hashes. Order and files do not matter, one
+    changed cent does; folded on the map side, so a large partition is no one task's work."""
+    row = F.xxhash64(*[F.col(c) for c in sorted(df.columns)])
+    return df.withColumn("_h", row).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("_h").cast("decimal(38,0)")).alias("sum"),
+        F.bit_xor("_h").alias("xor"))
+
+
+def changed_parts(first: DataFrame, second: DataFrame, by: list[str]) -> DataFrame:
+    """Parts whose fingerprint differs between two builds, with the rows of each."""
+    a, b = fingerprint(first, by), fingerprint(second, by)
+    left = a.select(*[F.col(c).alias(f"_a_{c}") for c in by], F.struct("n_rows", "sum", "xor")
+                    .alias("_a"))
+    right = b.select(*by, F.struct("n_rows", "sum", "xor").alias("_b"))
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(f"_a_{c}").eqNullSafe(F.col(c))
+    key = [F.coalesce(c, f"_a_{c}").alias(c) for c in by]
+    return left.join(right, same, "full_outer").filter(~F.col("_a").eqNullSafe(F.col("_b"))).select(
+        *key, F.coalesce("_a.n_rows", F.lit(0)).alias("rows_before"),
+        F.coalesce("_b.n_rows", F.lit(0)).alias("rows_after"))
+
+
 def freshness(df: DataFrame, loaded_at: str, as_of: Column, warn_hours: int = 6,
               error_hours: int = 24) -> DataFrame:
     age = F.unix_timestamp(as_of) - F.unix_timestamp(F.col("max_loaded_at"))
