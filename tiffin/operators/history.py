@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiffin.functions.clock import open_end
 from tiffin.functions.keys import surrogate_key
+from tiffin.sources.tables import VersionedTable, changed_parts
 
 
 def _paired(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -75,6 +77,47 @@ def scd2_apply(history: DataFrame, snapshot: DataFrame, key: str, check: list[st
     return history.filter("valid_to is not null").select(*moved.columns).unionByName(moved)
 
 
+class KeptHistory:
+    """A versioned table on disk, in buckets of its key.
+
+    A snapshot is compared with the open versions by a fingerprint per bucket, for which only the
+    key and the checked columns are read and one row per bucket is shuffled. Only buckets that
+    differ are joined and written again; the files of all others stay as they are.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, snapshot: T.StructType, key: str,
+                 check: list[str], buckets: int = 1024):
+        self.key, self.check, self.buckets = key, check, buckets
+        self.schema = T.StructType([*snapshot.fields, *(
+            T.StructField(c, T.TimestampType()) for c in ("valid_from", "valid_to"))])
+        self.table = VersionedTable(spark, path, self.schema, self.bucket())
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets))
+
+    def start(self, snapshot: DataFrame, as_of: Column) -> None:
+        self.table.replace(scd2_start(snapshot.select(*self.schema.names[:-2]),
+                                      as_of.cast("timestamp")))
+
+    def compared(self, snapshot: DataFrame) -> DataFrame:
+        """Buckets in which an open version is new, gone or changed."""
+        def marks(df: DataFrame) -> DataFrame:
+            return df.select(self.bucket().alias("bucket"), self.key, *self.check)
+        return changed_parts(marks(self.table.read().filter("valid_to is null")), marks(snapshot),
+                             ["bucket"]).select("bucket")
+
+    def apply(self, snapshot: DataFrame, as_of: Column) -> int:
+        """Close and open versions; the number of buckets that were written. Bucket numbers are
+        folders of the table, listed on the driver."""
+        touched = [r[0] for r in self.compared(snapshot).collect()]
+        if touched:
+            inside = self.bucket().isin(touched)
+            history = self.table.read(F.col("_part").isin([str(t) for t in touched]))
+            self.table.replace(scd2_apply(history, snapshot.filter(inside), self.key, self.check,
+                                          as_of))
+        return len(touched)
+
+
 def scd2_view(history: DataFrame, key: str, name: str) -> DataFrame:
     """A key per version, a closed end for range joins, and the current flag."""
     attributes = [c for c in history.columns if c not in ("valid_from", "valid_to")]

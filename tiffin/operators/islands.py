@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tiffin.functions.clock import elapsed_hours, seconds_between, wall_clock_hours
@@ -13,16 +12,13 @@ from tiffin.operators.slices import POS, SLICE, previous, running, sliced
 def median_length(shifts: DataFrame) -> Column:
     """The discrete median length of closed shifts as a scalar subquery, exact.
 
-    Lengths are counted per second first; what is accumulated afterwards is one row per length that
-    occurs, so it does not grow with the number of shifts.
+    The aggregate counts per length, on the map side first, so it holds one entry per length that
+    occurs and does not grow with the number of shifts.
     """
-    counts = (shifts.filter("logout_at is not null")
-              .groupBy(seconds_between(F.col("login_at"), F.col("logout_at")).alias("length"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    upto = F.sum("n").over(W.orderBy("length").rowsBetween(W.unboundedPreceding, 0))
-    total = F.sum("n").over(W.partitionBy(F.lit(0)))
-    return (counts.select("length", upto.alias("upto"), total.alias("total"))
-            .filter(F.col("upto") * 2 >= F.col("total")).agg(F.min("length"))).scalar()
+    length = seconds_between(F.col("login_at"), F.col("logout_at"))
+    return (shifts.filter("logout_at is not null").select(length.alias("length"))
+            .agg(F.expr("percentile_disc(0.5) within group (order by length)").cast("bigint"))
+            ).scalar()
 
 
 def capped_shifts(shifts: DataFrame) -> DataFrame:

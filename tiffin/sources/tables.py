@@ -99,9 +99,11 @@ class VersionedTable:
     def _folder(self, version: int) -> str:
         return f"{self.path}/data/_version={version}"
 
-    def read(self) -> DataFrame:
-        """Current rows."""
-        return self._raw(self.visible()).select(*self.schema.names)
+    def read(self, parts: Column | None = None) -> DataFrame:
+        """Current rows; ``parts``, a condition on ``_part``, limits the files that are read."""
+        visible = self.visible()
+        return self._raw(visible if parts is None else visible.filter(parts)).select(
+            *self.schema.names)
 
     def seen(self, app: str, batch: int) -> bool:
         return not self.log().filter((F.col("_app") == app) & (F.col("_batch") == batch)).isEmpty()
