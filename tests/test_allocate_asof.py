@@ -117,3 +117,36 @@ def test_no_nested_loop_for_precedence(spark):
     rates = spark.createDataFrame([(1, "GLOBAL", None, 1, date(2020, 1, 1), None)], CARD)
     plan = asof.by_precedence(df, rates, SCOPES, "d", "fee", "id")._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_weights_that_would_vanish_are_refused(spark):
+    """A fraction in a pick, a longer decimal or a tiny float in a split: errors, not losses."""
+    rows = spark.range(3).withColumn("d", F.lit(5).cast("long"))
+    for w in ("cast(0.4 as double)", "cast(0.4 as decimal(5,2))", "-1"):
+        weights = spark.sql(f"select 1 as k, {w} as w")
+        with pytest.raises(Exception, match="not a whole number"):
+            allocate.weighted_pick(rows, F.col("d"), weights, "k", "w").collect()
+    whole = spark.sql("select 1 as k, cast(3 as decimal(5,2)) as w union all select 2, 0")
+    assert {r["k"] for r in allocate.weighted_pick(rows, F.col("d"), whole, "k", "w").collect()} == {1}
+    for w in ("cast(0.12345678901 as decimal(20,11))", "cast(1e-12 as double)"):
+        df = spark.sql(f"select 1 as g, 10 as t, {w} as w, 1 as i")
+        with pytest.raises(Exception, match="digits after the point"):
+            allocate.largest_remainder(df, ["g"], "t", "w", "i", "part").collect()
+
+
+@pytest.mark.parametrize("few", [0, 1 << 16])
+@pytest.mark.parametrize("scale", [1, 10 ** 13])
+def test_picks_equal_a_plain_search(spark, monkeypatch, few, scale):
+    """Small and large tables, products in longs and in decimals: the same keys."""
+    monkeypatch.setattr(allocate, "FEW_KEYS", few)
+    weights = [(k, (k * 37 % 11) * scale) for k in range(40)]
+    total, bounds = sum(w for _, w in weights), []
+    for k, w in weights:
+        bounds.append(((bounds[-1][0] if bounds else 0) + w, k))
+    rows = spark.range(500).select("id", F.shiftrightunsigned(F.xxhash64("id"), 16).alias("d"))
+    got = allocate.weighted_pick(rows, F.col("d"), spark.createDataFrame(weights, "k long, w long"),
+                                 "k", "w").collect()
+    assert len(got) == 500
+    for r in got:
+        point = r["d"] * total >> 48
+        assert r["k"] == next(k for top, k in bounds if point < top)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,16 +19,23 @@ def largest_remainder(df: DataFrame, group: list[str], total: str, weight: str,
                       out: str, places: int = 2) -> DataFrame:
     """Split ``total`` over the rows of each group; the parts sum to it exactly.
 
-    ``weight`` is a number with up to ten digits after the point, ``pos`` breaks ties and
-    is unique in the group. The arithmetic is on whole units, so nothing is rounded; a group whose
-    weights sum to zero fails. The size of a negative total is split and the sign given back.
+    ``weight`` is a number with up to ten digits after the point; a longer decimal, or a float so
+    small that it would become zero, is an error. ``pos`` breaks ties and is unique in the group. The
+    arithmetic is on whole units, so nothing is rounded; a group whose weights sum to zero fails.
+    The size of a negative total is split and the sign given back.
     """
     scale = 10 ** places
     kind = df.schema[weight].dataType
     fraction = isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType)
     digits = 10 if fraction else min(getattr(kind, "scale", 0), 10)
     wide = f"decimal({18 + digits},{digits})"
-    weighed = attach(df, group, _wsum=("sum", F.col(weight).cast(wide)))
+    given, cut = F.col(weight), F.col(weight).cast(wide)
+    # A float is rounded, as it always is; a decimal must not be, and no weight may vanish.
+    lost = (given > 0) & (cut == 0) if fraction else cut != given
+    checked = F.when(lost, F.raise_error(F.concat(
+        F.lit(f"weight has more than {digits} digits after the point: "), given.cast("string")))) \
+        .otherwise(cut)
+    weighed = attach(df.withColumn("_given", checked), group, _wsum=("sum", F.col("_given")))
 
     def whole(c: str, to: str) -> Column:
         return (F.col(c) * F.lit(10 ** digits).cast(f"decimal({digits + 1},0)")).cast(to)
@@ -35,7 +43,7 @@ def largest_remainder(df: DataFrame, group: list[str], total: str, weight: str,
              .withColumn("_signed", (F.col(total).cast("decimal(18,4)") * scale)
                          .cast("decimal(20,0)"))
              .withColumn("_total", F.abs("_signed"))
-             .withColumn("_weight", F.col(weight).cast(wide))
+             .withColumn("_weight", F.col("_given"))
              .withColumn("_w", whole("_weight", "decimal(28,0)"))
              .withColumn("_ws", whole("_wsum", "decimal(34,0)")))
     checked = F.when(F.col("_ws") == 0, F.raise_error(F.lit("weights sum to zero"))) \
@@ -77,38 +85,64 @@ def cumulative(df: DataFrame, key: str, weight: str, out: str) -> DataFrame:
         .drop(SLICE, POS)
 
 
-def weight_ranges(weights: DataFrame, key: str, weight: str) -> DataFrame:
-    """(key, lo, hi): each key's stretch [lo, hi) of the cumulative weight; whole numbers, and keys
-    of weight zero or NULL have none."""
-    table = weights.select(key, F.col(weight).cast("bigint").alias("_w")).filter("_w > 0")
-    summed = cumulative(table, key, "_w", "_c")
+FEW_KEYS = 1 << 16  # a table of this many keys is summed in one task, a larger one in slices
+
+
+def whole_weights(weights: DataFrame, key: str, weight: str) -> DataFrame:
+    """(key, _w): weights as whole numbers; a fraction or a negative weight is an error, because it
+    would be cut or lost. Weights of zero and NULL have no share and are left out."""
+    w = F.col(weight)
+    wrong = (w < 0) | (w != F.floor(w))
+    checked = F.when(wrong, F.raise_error(F.concat(F.lit("weight is not a whole number: "),
+                                                   w.cast("string")))).otherwise(w)
+    return weights.select(key, checked.cast("bigint").alias("_w")).filter("_w > 0")
+
+
+def weight_ranges(table: DataFrame, key: str, n: int) -> DataFrame:
+    """(key, lo, hi): each key's stretch [lo, hi) of the cumulative weight in key order."""
+    if n <= FEW_KEYS:
+        upto = F.sum("_w").over(W.orderBy(key).rowsBetween(W.unboundedPreceding, 0))
+        summed = table.withColumn("_c", upto)
+    else:
+        summed = cumulative(table, key, "_w", "_c")
     return summed.select(key, (F.col("_c") - F.col("_w")).alias("lo"), F.col("_c").alias("hi"))
 
 
+def _point(draw: Column, total: int) -> Column:
+    """draw * total >> WIDE_BITS, exactly: in longs where the product of half a draw fits."""
+    half = WIDE_BITS // 2
+    if total < 1 << (62 - half):
+        high, low = F.shiftright(draw, half), draw.bitwiseAND(F.lit((1 << half) - 1))
+        return F.shiftright(high * total + F.shiftright(low * total, half), half)
+    over = F.lit(1 << WIDE_BITS).cast("decimal(19,0)")
+    product = draw.cast("decimal(19,0)") * F.lit(total).cast("decimal(19,0)")
+    return F.floor((product - product % over) / over).cast("bigint")
+
+
 def weighted_pick(df: DataFrame, draw: Column, weights: DataFrame, key: str,
                   weight: str) -> DataFrame:
-    """Add the key drawn for each row; ``draw`` has ``WIDE_BITS`` bits.
+    """Add the key drawn for each row; ``draw`` has ``WIDE_BITS`` bits, weights are whole numbers.
 
     The draw becomes a point of the cumulative weight, which lies in one key's stretch. The weight
-    axis is cut into as many equal cells as there are keys; keys and points meet by cell, and the
-    stretch decides inside it. Every cell gets the same share of the rows whatever the weights, a
-    key lies in as many cells as its share, and the table has at most twice as many rows as keys.
-    There is no bound on the number of keys.
+    axis is cut into as many cells as there are keys; keys and points meet by cell, and the stretch
+    decides inside it. Every cell gets the same share of the rows whatever the weights, a key lies
+    in as many cells as its share, and the table has at most twice as many rows as keys. There is no
+    bound on the number of keys.
+
+    A cell is a rounded product, the same one on both sides and never falling along the axis, so
+    a point lies between its key's first and last cell without exact arithmetic.
     """
-    ranges = materialise(weight_ranges(weights, key, weight), "ranges")
-    size = ranges.agg(F.max("hi").alias("total"), F.count(F.lit(1)).alias("n")).first()
+    table = materialise(whole_weights(weights, key, weight), "weights")
+    size = table.agg(F.sum("_w").alias("total"), F.count(F.lit(1)).alias("n")).first()
     total, cells = size["total"] or 1, max(1, size["n"])
 
-    def scaled(c: Column, by: int, over: int) -> Column:
-        """c * by div over, exactly."""
-        product = c.cast("decimal(19,0)") * F.lit(by).cast("decimal(19,0)")
-        return F.floor((product - product % F.lit(over).cast("decimal(19,0)"))
-                       / F.lit(over).cast("decimal(19,0)")).cast("bigint")
-    first, last = scaled(F.col("lo"), cells, total), scaled(F.col("hi") - 1, cells, total)
-    table = expanded(ranges.select(key, "lo", "hi", first.alias("_first"),
-                                   (last - first + 1).alias("_n")), "_n", "_k") \
+    def cell(c: Column) -> Column:
+        return F.floor(c.cast("double") * F.lit(cells / total)).cast("bigint")
+    first, last = cell(F.col("lo")), cell(F.col("hi") - 1)
+    spread = expanded(weight_ranges(table, key, cells).select(
+        key, "lo", "hi", first.alias("_first"), (last - first + 1).alias("_n")), "_n", "_k") \
         .select(key, "lo", "hi", (F.col("_first") + F.col("_k")).alias("_c"))
-    rows = df.withColumn("_point", scaled(draw, total, 1 << WIDE_BITS))
-    rows = rows.withColumn("_cell", scaled(F.col("_point"), cells, total))
+    rows = df.withColumn("_point", _point(draw, total))
+    rows = rows.withColumn("_cell", cell(F.col("_point")))
     inside = (F.col("_point") >= F.col("lo")) & (F.col("_point") < F.col("hi"))
-    return rows.join(table, (F.col("_cell") == F.col("_c")) & inside).select(*df.columns, key)
+    return rows.join(spread, (F.col("_cell") == F.col("_c")) & inside).select(*df.columns, key)
