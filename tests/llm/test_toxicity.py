@@ -20,6 +20,16 @@ def test_disguised_words_are_restored():
     assert "idiot" in words
 
 
+def test_letters_set_apart_in_any_way():
+    r = restorer(["idiot", "ass", "hello", "unbelievablystupidperson"])
+    features = toxicity.Features(r)
+    for text, word in {"i  d  i  o  t": "idiot", "i\td\ti\to\tt": "idiot", "i\nd\ni\no\nt": "idiot",
+                       "you a s s there": "ass", "1 d 1 0 t": "idiot",
+                       " ".join("unbelievablystupidperson"): "unbelievablystupidperson"}.items():
+        assert word in features.words(text), text
+    assert "ass" not in features.words("a mass of grass")
+
+
 def test_viterbi_equals_all_paths():
     r = restorer(["idiot", "lost", "tool"])
 

@@ -42,7 +42,7 @@ SWAP, LEAVE_SIGN, LEAVE_LOOKALIKE, LEAVE_REPEAT = -1.0, -0.3, -6.0, -1.5
 
 SYMBOLS = 61  # 0: no letter, 1-26: a-z, 27-59: other Latin-1 letters, 60: any other letter
 TRIPLE = re.compile(r"(\w)\1\1")
-SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
+SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")  # letters set apart by any white space
 LETTERS = re.compile(r"[^\W\d_]")
 EDGE = "".join(chr(c) for c in range(33, 127)
                if not chr(c).isalnum() and chr(c) not in LOOKALIKES) + "…“”„«»‘’¿"
@@ -174,7 +174,7 @@ class Features:
     def words(self, text: str | None) -> set[str]:
         text = (text or "").lower()
         raw = set(text.split())
-        joined = [m.group().replace(" ", "") for m in SPACED.finditer(text)]
+        joined = ["".join(m.group().split()) for m in SPACED.finditer(text)]
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
         known, restore = self.known, self.restorer.restore
@@ -186,8 +186,9 @@ class Features:
             out.add(r)
         for run in joined:  # neighbours may have been joined too, so look at the parts
             whole = restore(run)
+            out.add(whole)
             out.update(whole[i:j] for i in range(len(whole))
-                       for j in range(i + 4, min(len(whole), i + 16) + 1))
+                       for j in range(i + 3, min(len(whole), i + 16) + 1))
         out.discard("")
         return out
 
