@@ -3,7 +3,9 @@
 Each stage gets what its predecessor kept and returns a DataFrame; all but the last return the
 columns of ``documents``. ``run`` writes each stage as Parquet in the shared folder and reads it
 again, so a lost executor repeats one stage at most. Columns beyond doc_id and text are carried
-along; where ``n_chars`` is there, masking sets it anew.
+along; where ``n_chars`` is there, masking sets it anew. NULL and empty texts, which are like
+nothing, pass all filters; an empty table gives an empty one; columns named like those of an operator
+are kept as they are. A very long text is one row of a task.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tiffin.llm import bpe, fmindex, jaccard, pii, toxicity
 from tiffin.llm.common import table
+from tiffin.operators.slices import contiguous_ids
 from tiffin.session import materialise
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,25 +33,45 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest doc_id of each group; of rows that share a doc_id, one stays.
+    """The document of smallest doc_id of each group.
 
     Only the ids that go are joined with the texts. Rows without a doc_id are in no group and stay.
+    Where rows share a doc_id, each of its texts is judged by itself.
     """
     found = materialise(jaccard.join(docs.select("doc_id", "text"), SHINGLE_WORDS, SIMILAR, OF),
                         "near-duplicates")
+    repeated = (found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1"))
+    if not repeated.isEmpty():
+        return _drop_by_text(docs)
     gone = materialise(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
     # A bitmap clears most documents without a join; only texts it does not clear are shuffled.
     asked = jaccard.maybe_seen(docs, gone, "_maybe_gone")
-    kept = asked.where("not _maybe_gone").select(*docs.columns).unionByName(
+    return asked.where("not _maybe_gone").select(*docs.columns).unionByName(
         asked.where("_maybe_gone").join(gone, "doc_id", "left_anti").select(*docs.columns))
-    repeated = materialise(found.where("doc_id is not null").groupBy("doc_id").count()
-                           .where("count > 1").select("doc_id"), "repeated")
-    if repeated.isEmpty():
-        return kept
-    rest = F.struct(*docs.columns)
-    one = (kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id")
-           .agg(F.min_by(rest, F.coalesce("text", F.lit(""))).alias("row")).select("row.*"))
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(one)
+
+
+def _drop_by_text(docs: DataFrame) -> DataFrame:
+    """The same where doc_ids repeat: a document is a doc_id with a text, in order of both. Of whole
+    rows repeated one stays, unless the text has no words, which makes it like no other."""
+    rows = materialise(docs.where("doc_id is not null").withColumn(
+        "_digest", F.sha2(F.coalesce("text", F.lit("")), 256)), "rows")
+    known = contiguous_ids(rows.select("doc_id", "_digest").distinct(), ["doc_id", "_digest"],
+                           "_number")
+    known = materialise(known.select(F.col("doc_id").alias("_id"), F.col("_digest").alias("_d"),
+                                     "_number"), "numbers")
+    texts = rows.groupBy("doc_id", "_digest").agg(F.min("text").alias("text")).join(
+        known, (F.col("doc_id") == F.col("_id")) & (F.col("_digest") == F.col("_d")))
+    found = materialise(jaccard.join(texts.select(F.col("_number").alias("doc_id"), "text"),
+                                     SHINGLE_WORDS, SIMILAR, OF), "near-duplicates-by-text")
+    stays = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept"),
+                                                        (F.col("n_shingles") > 0).alias("_words"))
+    kept = rows.join(known, (F.col("doc_id") == F.col("_id")) & (F.col("_digest") == F.col("_d"))) \
+        .join(stays, F.col("_number") == F.col("_kept"))
+    row = F.struct(*docs.columns)
+    one = (kept.where("_words").groupBy("_number").agg(F.min_by(row, F.xxhash64(row)).alias("row"))
+           .select("row.*"))
+    return docs.where("doc_id is null").unionByName(one).unionByName(
+        kept.where("not _words").select(*docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
