@@ -21,10 +21,26 @@ def test_stages_on_odd_rows(spark, odd, nothing):
         docs = corpus_pipeline.materialise(kept, "odd")
     ids = [r.doc_id for r in docs.collect()]
     assert ids.count(1) == 1 and 6 in ids and 7 not in ids and ids.count(None) == 2
+    # doc 2 has a copy of doc 1, which goes, and a text of its own, which stays
+    assert [r.text for r in docs.collect() if r.doc_id == 2] == ["another text of doc two"]
+    coded = corpus_pipeline.to_token_ids(spark, docs, "").collect()
+    assert len(coded) == len(ids) and all(r.round_trip for r in coded)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, nothing, "/root/testdata/sf0.001").count() == 0
 
 
+def test_texts_that_share_a_doc_id(spark):
+    """Unlike texts stay, copies go, whole rows repeated stay once, and empty ones as they are."""
+    a, b = "one two three four five six seven eight", "red green blue black white pink grey brown"
+    rows = [(1, a, "x"), (1, b, "y"), (2, a, "z"), (2, b + " teal", "w"), (3, "", "e"), (3, "", "e"),
+            (4, a + " nine ten eleven twelve", "n"), (4, a + " nine ten eleven twelve", "n"),
+            (None, a, "null")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    got = sorted((r.doc_id or 0, r.source) for r in kept.collect())
+    assert got == [(0, "null"), (1, "x"), (1, "y"), (3, "e"), (3, "e"), (4, "n")]
+
+
 def test_comparison_sql(spark):
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
