@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tiffin.catalog.models import stg_orders, stg_refunds
 from tiffin.catalog.registry import query
 from tiffin.operators import quality
-from tiffin.plans import defects, marts, staging
+from tiffin.plans import defects, marts, staging, staging_tests
 from tiffin.plans import events as ev
 from tiffin.plans.demand import actual_daily, actual_hourly
 from tiffin.session import materialise, scratch
@@ -482,6 +482,50 @@ def q13_broken(b: Bronze):
         F.lit(built).alias("next_layer_built"))
 
 
+_VIEWS = {"cities": "b_cities", "zones": "b_zones", "restaurants": "b_restaurants",
+          "riders": "b_riders", "menu_items": "b_menu_items", "rider_payout_tiers": "b_tiers",
+          "demand_daily": "m_demand_daily", "demand_hourly": "m_demand_hourly",
+          "customers": "m_stg_customers", "orders": "m_stg_orders", "order_items": "b_items",
+          "match_attempts": "b_attempts", "payments": "b_payments", "refunds": "m_stg_refunds"}
+
+
+def _staged(b: Bronze, damage=None):
+    """All staging models, written once; ``damage`` changes the orders before that."""
+    from tiffin.catalog import models
+    orders = stg_orders(b)
+    made = {"orders": orders if damage is None else damage(orders), "refunds": stg_refunds(b),
+            "customers": models.d03(b), "order_items": models.order_items(b),
+            "demand_daily": actual_daily(b), "demand_hourly": actual_hourly(b)}
+    for name in _VIEWS.keys() - made.keys():
+        made[name] = staging.passed(getattr(b, name)(), name)
+    return {name: materialise(df, f"stg-{name}") for name, df in made.items()}
+
+
+@query("q13_staging_tests_clean", staging_tests.sql(_VIEWS))
+def q13_staging(b: Bronze):
+    """Every declared test of every staging model with its number of failures. The rate card has
+    two periods per tier, which its test of uniqueness reports."""
+    return staging_tests.report(_staged(b).__getitem__, _VIEWS)
+
+
+@query("q13_staging_tests_broken", "with damaged as (select * replace (case when order_id % 50 = 0 "
+       "then 'LOST' else order_status end as order_status, case when order_id % 70 = 0 then null "
+       "else zone_id end as zone_id) from m_stg_orders union all select * from m_stg_orders "
+       "where order_id % 90 = 1) select * from (" + staging_tests.sql(
+           {"orders": "damaged", "customers": "m_stg_customers", "restaurants": "b_restaurants",
+            "zones": "b_zones"}) + ") where model = 'orders' and failures > 0")
+def q13_staging_broken(b: Bronze):
+    """Orders of an unknown status, without a zone, and some twice: three tests fail, by number."""
+    def damage(o):
+        bad = o.withColumn("order_status", F.when(F.col("order_id") % 50 == 0, "LOST")
+                           .otherwise(F.col("order_status"))) \
+            .withColumn("zone_id", F.when(F.col("order_id") % 70 != 0, F.col("zone_id")))
+        return bad.unionByName(o.filter("order_id % 90 = 1"))
+    staged = _staged(b, damage)
+    return staging_tests.report(staged.__getitem__, ["orders", "customers", "restaurants", "zones"]) \
+        .filter("model = 'orders' and failures > 0")
+
+
 def _lineage(b: Bronze, extra: dict):
     """Forbidden tables per mart, with the rows of each such mart."""
     from tiffin.catalog import models

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tiffin.catalog.oracle import draw, key, view
 from tiffin.catalog.registry import query
 from tiffin.catalog.relational import claims, order_facts
-from tiffin.catalog.scalars import KEYWORD_SQL
+from tiffin.catalog.scalars import KEYWORD_SQL, hits_sql
 from tiffin.functions import text
 from tiffin.functions.draws import md5_draw
 from tiffin.functions.keys import surrogate_key
@@ -458,12 +458,16 @@ def a18_scores(b: Bronze):
 
 @query("a19_sentiment_mix", f"""
 select restaurant_id, count(*) as n, round(avg(case when s = 'negative' then 1.0 else 0.0 end), 6)
- as negative_share, round(avg(c), 6) as mean_confidence
-from (select h.restaurant_id, yhat as s, 0.5 + (review_id % 50) / 100.0 as c
- from x_scored join b_heads h using (order_id)) group by restaurant_id""")
+ as negative_share, round(avg(abs(up - down) / greatest(up + down, 1)), 6) as mean_confidence
+from (select h.restaurant_id, {KEYWORD_SQL} as s, {hits_sql(text.POSITIVE_WORDS)} as up,
+  {hits_sql(text.NEGATIVE_WORDS)} as down from x_reviews join b_heads h using (order_id))
+group by restaurant_id""")
 def a19(b: Bronze):
+    """Shares of predictions, and how one-sided the words were that they come from."""
     shops = b.order_heads().select("order_id", "restaurant_id")
-    s = scored(b).withColumn("c", F.lit(0.5) + (F.col("review_id") % 50) / 100.0)
+    s = made_reviews(b).select(
+        "order_id", text.keyword_sentiment(F.col("review_text")).alias("yhat"),
+        text.keyword_confidence(F.col("review_text")).alias("c"))
     return s.join(shops, "order_id").groupBy("restaurant_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.round(F.avg((F.col("yhat") == "negative").cast("double")), 6).alias("negative_share"),

@@ -260,11 +260,24 @@ def j13(b: Bronze):
 @query("j14_pending_work", """select review_id, lang from b_reviews
  where lang is distinct from 'en'""")
 def j14(b: Bronze):
-    """Reviews without a result of this model and version: version 1 has seen English only."""
+    """Reviews without a row in the results table for this model and version: version 1 has seen
+    English only, version 2 and another model have seen all."""
+    from tiffin.functions.text import keyword_sentiment
     from tiffin.plans.reviews import pending
-    done = b.reviews().filter("lang = 'en'").select("review_id", F.lit("keywords").alias("model"),
-                                                    F.lit("v1").alias("prompt_version"))
-    return pending(b.reviews().select("review_id", "lang"), done, "review_id", model="keywords",
+    rows = b.reviews().select("review_id", "lang", "review_text")
+
+    def results(of, model, version):
+        return of.select("review_id", F.lit(model).alias("model"),
+                         F.lit(version).alias("prompt_version"),
+                         keyword_sentiment(F.col("review_text")).alias("sentiment"))
+    english = results(rows.filter("lang = 'en'"), "keywords", "v1")
+    table = VersionedTable(b.spark, scratch(b.spark, "results"), english.schema,
+                           F.concat_ws("-", "model", "prompt_version"))
+    table.append(english)
+    table.append(results(rows, "keywords", "v2"))
+    table.append(results(rows, "other", "v1"))
+    done = table.read(F.col("_part") == "keywords-v1")
+    return pending(rows.select("review_id", "lang"), done, "review_id", model="keywords",
                    prompt_version="v1")
 
 

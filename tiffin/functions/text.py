@@ -51,6 +51,12 @@ def keyword_sentiment(text: Column) -> Column:
     return F.when(score > 0, "positive").when(score < 0, "negative").otherwise("neutral")
 
 
+def keyword_confidence(text: Column) -> Column:
+    """How one-sided the keywords are: 0 if none or as many of both, 1 if all are of one side."""
+    up, down = word_hits(text, POSITIVE_WORDS), word_hits(text, NEGATIVE_WORDS)
+    return F.abs(up - down) / F.greatest(up + down, F.lit(1))
+
+
 # Review issue categories and the words that flag them.
 ISSUE_WORDS = {
     "late": ["late", "waiting", "hour", "hours"],

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tiffin.functions.draws import Draw, xx_draw
 from tiffin.operators import quality
 from tiffin.operators.quality import Check
-from tiffin.plans import marts, model_tests, staging, synth
+from tiffin.plans import marts, model_tests, staging, staging_tests, synth
 from tiffin.session import materialise
 from tiffin.sources.contracts import BRONZE
 from tiffin.sources.tables import overwrite, swap
@@ -94,6 +94,9 @@ def build_layers(bronze: Callable[[str], DataFrame], out: str, salt: str) -> dic
         "fct_orders": marts.fct_orders(marts.order_economics(orders, items, refunds)),
         "fct_deliveries": marts.fct_deliveries(matching, orders)}
     quality.no_forbidden_source(models, marts.ANSWER_KEY)
+    held = {"orders": orders, "refunds": refunds, "order_items": items, "match_attempts": attempts,
+            "customers": customers, "zones": zones, "cities": cities} | {
+        n: staging.passed(bronze(n), n) for n in ("restaurants", "riders")}
     counts: dict[str, int] = {}
 
     beside = f"{out.rstrip('/')}/_unchecked-{uuid.uuid4().hex}"
@@ -115,6 +118,7 @@ def build_layers(bronze: Callable[[str], DataFrame], out: str, salt: str) -> dic
               lambda: quality.accepted_values(orders, "order_status", statuses)),
         Check("refund amounts are readable", lambda: quality.not_null(refunds, "refund_amount")),
         Check("one accepted offer", lambda: quality.one_accepted_match(orders, attempts)),
+        staging_tests.check(held.__getitem__, held),
         Check("refund within the order total", lambda: quality.refund_above_total(orders, refunds))]
     built = [
         Check("subtotal equals its items",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tiffin.sources.landing import METADATA, RESCUED, stream, with_metadata
@@ -48,12 +49,14 @@ class BronzeStream:
             return self.spark.createDataFrame([], self.schema())
 
     def ingest_once(self, batch_id: str) -> int:
-        """Everything that is new, then stop. Gives the rows added by the table's own count; the
-        progress of a finished query reports only its last, empty batch."""
-        before = self.read().count()
+        """Everything that is new, then stop. Gives the rows added by the table's own count of this
+        batch id; a file holds one id, so the others are skipped by their statistics."""
+        def held() -> int:
+            return self.read().filter(F.col("_bronze_batch_id") == batch_id).count()
+        before = held()
         query = self._writer(batch_id).trigger(availableNow=True).start()
         query.awaitTermination()
-        return self.read().count() - before
+        return held() - before
 
     def start(self, batch_id: str, interval: str = "10 seconds") -> StreamingQuery:
         """The same query without end; the caller stops it."""
