@@ -685,13 +685,53 @@ def quarantine(b: Bronze):
              ["order_id", "event_type"]),
             ("courier_shifts", "shift_id", shifts, ["courier_id"]),
             ("gps_pings", "ping_id", pings, ["courier_id", "accuracy_m"])]
-    out = None
-    for name, row_key, flagged, payload in arms:
-        rows = flagged.filter("reason_code is not null").select(
-            F.lit(name).alias("source_table"), F.col(row_key).cast("string").alias("natural_key"),
-            "reason_code", F.to_json(F.struct(*payload)).alias("raw_payload"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    return quality.quarantined(arms)
+
+
+@query("u03_quarantine_payload", """
+select 'refunds' as source_table, cast(refund_id as varchar) as natural_key, reason_code,
+ cast(json_object('payment_id', payment_id, 'order_id', order_id, 'amount_cents', amount_cents)
+ as varchar) as raw_payload from m_claims where reason_code is not null
+union all select 'order_events', cast(event_id as varchar), 'DUP_EVENT', cast(json_object('order_id',
+  order_id, 'event_type', event_type) as varchar) from (select *, row_number() over (partition by
+  order_id, event_type, occurred_at order by received_at, event_id) as rn from b_events) where rn > 1
+union all select 'courier_shifts', cast(shift_id as varchar), case when logout_at is null
+  then 'SHIFT_NULL_LOGOUT' else 'SHIFT_OVERLAP' end, cast(json_object('courier_id', courier_id)
+  as varchar) from (select *, lag(logout_at) over (partition by courier_id order by login_at,
+  shift_id) as prev from b_shifts) where logout_at is null or login_at < prev
+union all select 'gps_pings', cast(ping_id as varchar), 'GPS_LOW_ACCURACY',
+ cast(json_object('courier_id', courier_id) as varchar) from b_pings where accuracy_m > 100
+union all select 'order_items', order_id || '-' || line_no, case when quantity <= 3
+  then 'NEGATIVE_QUANTITY' else 'FK_MISSING' end, cast(json_object('menu_item_id', l.menu_item_id,
+  'quantity', quantity - 3) as varchar) from b_lines l left join b_menu_items m
+ on m.menu_item_id = l.menu_item_id and m.is_available
+ where quantity <= 3 or m.menu_item_id is null
+union all select 'orders', cast(o_orderkey as varchar), 'SCHEMA_RESCUED', cast(json_object('order_id',
+  o_orderkey, 'customer_id', o_custkey) as varchar) from orders
+ where o_orderdate >= timestamp '1998-01-01'""")
+def u03_payload(b: Bronze):
+    """All nine codes, each with the payload that reproduces the row. Three of every quantity were
+    taken back, only available items are on the menu, and a landing of orders grew a column."""
+    from tiffin.catalog.streams import rescued_orders
+    shifts = overlap_flags(b.courier_shifts()).withColumn("reason_code", quality.first_reason(
+        (F.col("logout_at").isNull(), "SHIFT_NULL_LOGOUT"),
+        (F.col("login_at") < F.col("previous_logout"), "SHIFT_OVERLAP")))
+    pings = b.gps_pings().withColumn("reason_code", quality.first_reason(
+        (F.col("accuracy_m") > 100, "GPS_LOW_ACCURACY")))
+    menu = b.menu_items().filter("is_available").select("menu_item_id", F.lit(True).alias("_known"))
+    lines = b.lines().withColumn("quantity", F.col("quantity") - 3).join(
+        menu, "menu_item_id", "left").withColumn("reason_code", quality.first_reason(
+            (F.col("quantity") <= 0, "NEGATIVE_QUANTITY"), (F.col("_known").isNull(), "FK_MISSING"))) \
+        .withColumn("line_key", F.concat_ws("-", "order_id", "line_no"))
+    landed = rescued_orders(b, "json").withColumn("reason_code", quality.first_reason(
+        (F.col("was_rescued"), "SCHEMA_RESCUED")))
+    return quality.quarantined([
+        ("refunds", "refund_id", claims(b), ["payment_id", "order_id", "amount_cents"]),
+        ("order_events", "event_id", ev.flagged_events(b.order_events()), ["order_id", "event_type"]),
+        ("courier_shifts", "shift_id", shifts, ["courier_id"]),
+        ("gps_pings", "ping_id", pings, ["courier_id"]),
+        ("order_items", "line_key", lines, ["menu_item_id", "quantity"]),
+        ("orders", "order_id", landed, ["order_id", "customer_id"])])
 
 
 @query("u04_named_terms", """select 'orders' as term, count(*) as n from b_heads

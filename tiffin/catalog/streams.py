@@ -96,7 +96,8 @@ _RESCUE = """select o_orderkey as order_id, o_custkey as customer_id,
  o_orderdate >= timestamp '1998-01-01' as was_rescued from orders"""
 
 
-def _rescued(b: Bronze, kind: str):
+def rescued_orders(b: Bronze, kind: str):
+    """Landed orders, and which of them came with a column that the table does not have."""
     root = scratch(b.spark, f"t03-{kind}")
     rows = b.raw("orders", "o_orderkey", "o_custkey", "o_orderdate").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
@@ -117,12 +118,12 @@ def _rescued(b: Bronze, kind: str):
 @query("t03_rescue_json", _RESCUE)
 def t03_json(b: Bronze):
     """A source that grew a column: the rows stay, the lines are kept for inspection."""
-    return _rescued(b, "json")
+    return rescued_orders(b, "json")
 
 
 @query("t03_rescue_csv", _RESCUE)
 def t03_csv(b: Bronze):
-    return _rescued(b, "csv")
+    return rescued_orders(b, "csv")
 
 
 @query("t04_continuous_ingest", "select event_id, event_type from b_events")

@@ -215,6 +215,19 @@ def first_reason(*rules: tuple[Column, str]) -> Column:
     return F.coalesce(*[F.when(condition, F.lit(code)) for condition, code in rules])
 
 
+def quarantined(arms: list[tuple[str, str, DataFrame, list[str]]]) -> DataFrame:
+    """All rejected rows in one shape: (source table, key column, rows with ``reason_code``, payload
+    columns) per arm; the payload is JSON that keeps NULL fields."""
+    out = None
+    for name, row_key, flagged, payload in arms:
+        rows = flagged.filter("reason_code is not null").select(
+            F.lit(name).alias("source_table"), F.col(row_key).cast("string").alias("natural_key"),
+            "reason_code", F.to_json(F.struct(*payload), {"ignoreNullFields": "false"})
+            .alias("raw_payload"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def scd2_problems(versions: DataFrame, key: str) -> DataFrame:
     """Keys with more than one current row, or with windows that overlap.
 
