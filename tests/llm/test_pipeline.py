@@ -52,4 +52,4 @@ def test_comparison_sql(spark):
         columns = sorted(got.columns)
         assert columns == sorted(want.columns)
         got, want = (x[columns].sort_values(columns).reset_index(drop=True) for x in (got, want))
-        assert (got == want).all().all(), key
+        assert ((got == want) | (got.isna() & want.isna())).all().all(), key
