@@ -240,8 +240,14 @@ def m06(b: Bronze):
     return before.unionByName(after).select("state", "n_files", "n_rows")
 
 
+WINDOW_START, WINDOW_DAYS = "1996-06-01", 10  # the benchmark's table covers ten days
+
+
 def _layouts(b: Bronze):
-    rows = _bench(b)
+    """The orders in four layouts, their days folded into a window as long as the published one, so
+    that a day's folder holds a tenth of the table."""
+    folded = F.pmod(F.datediff("date_day", F.lit("1992-01-01").cast("date")), F.lit(WINDOW_DAYS))
+    rows = _bench(b).withColumn("date_day", F.date_add(F.lit(WINDOW_START).cast("date"), folded))
     paths = {name: scratch(b.spark, name) for name in layout.LAYOUTS}
     for name, path in paths.items():
         layout.LAYOUTS[name](rows, path, FILES)
@@ -308,7 +314,8 @@ def m13(b: Bronze):
 
 
 _LAYOUT_SQL = {
-    "date_range": "where placed_at >= timestamp '1996-06-03' and placed_at < timestamp '1996-09-07'",
+    "date_range": f"where (cast(placed_at as date) - date '1992-01-01') % {WINDOW_DAYS} "
+                  "between 2 and 5",  # the window's third to sixth day
     "zone": "where zone_id = 1", "status": "where order_status = 'DELIVERED'"}
 
 

@@ -132,7 +132,7 @@ LAYOUTS = layouts("date_day", "zone_id")
 # The fixed query set of the benchmark.
 QUERIES = {
     "date_range": "select count(*), sum(order_total) from {t} where date_day between "
-                  "date'1996-06-03' and date'1996-09-06'",
+                  "date'1996-06-03' and date'1996-06-06'",
     "zone": "select count(*), sum(order_total) from {t} where zone_id = 1",
     "status": "select count(*), sum(order_total) from {t} where order_status = 'DELIVERED'",
     "zone_revenue": "select zone_id, order_status, count(*) as n, sum(order_total) as revenue "
