@@ -36,3 +36,18 @@ def test_odd_rows(spark):
     assert {k: r.n_turns for k, r in got.items()} == {1: 3, None: 1, 2: 2, 3: 1}
     assert got[2].loss_sha256 == hashlib.sha256(b"lateb").hexdigest() and got[2].loss_chars == 5
     assert chat.digests(spark.createDataFrame([], CHATS)).collect() == []
+
+
+def test_long_texts_and_clashing_names(spark):
+    from pyspark.sql import functions as F
+    long = "say \\# <it> again. " * 20_000
+    rows = [(1, 0, "user", long), (1, 1, "assistant", long), (1, 1, "assistant", long)]
+    plain = spark.createDataFrame(rows, CHATS)
+    clash = plain
+    for name in ("turns", "formatted", "OUTPUT", "spans", "n_turns", "loss_chars", "rewrites", "h"):
+        clash = clash.withColumn(name, F.lit("clash"))
+    want, = chat.digests(plain).collect()
+    got, = chat.digests(clash).collect()
+    assert got.asDict() == want.asDict()
+    assert got.n_turns == 3 and got.loss_chars == 2 * len(long)
+    assert got.loss_sha256 == hashlib.sha256((long * 2).encode()).hexdigest()
