@@ -165,3 +165,10 @@ def test_rows_without_a_group_stay(spark):
     assert total == {i: sum(ids[:n + 1]) for ids in order.values() for n, i in enumerate(ids)}
     blocks = by_key(slices.block_ranked(df, ["key"], "id", "b", block=10), "b")
     assert blocks == {i: n for ids in order.values() for n, i in enumerate(sorted(ids))}
+
+
+def test_expanded_rows_are_made_by_several_tasks(spark):
+    few = spark.range(40).selectExpr("id", "50 + id as n")
+    rows = slices.expanded(few, "n", "k").withColumn("task", F.spark_partition_id())
+    tasks = rows.groupBy("task").count().collect()
+    assert sum(r["count"] for r in tasks) == sum(50 + i for i in range(40)) and len(tasks) > 4

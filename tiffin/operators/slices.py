@@ -129,12 +129,14 @@ def expanded(df: DataFrame, count: str, out: str, chunk: int = 10_000) -> DataFr
     """``count`` rows per input row, numbered from 0; zero or NULL gives none.
 
     A count of any size is cut into chunks which are spread before the second step, so no array and
-    no task grows with the largest count.
+    no task grows with the largest count. The number of partitions is given, because by their few
+    bytes the chunks would be put together in one task, which then makes all rows.
     """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = (df.filter(F.col(count) > 0)
               .withColumn("_chunk", F.explode(F.sequence(
                   F.lit(0).cast("bigint"), F.floor((F.col(count) - 1) / F.lit(chunk))))))
-    spread = chunks.repartition(F.xxhash64(*df.columns, "_chunk"))
+    spread = chunks.repartition(parts, F.xxhash64(*df.columns, "_chunk"))
     first = F.col("_chunk") * F.lit(chunk)
     last = F.least(first + F.lit(chunk - 1), F.col(count).cast("bigint") - 1)
     return spread.withColumn(out, F.explode(F.sequence(first, last))).drop("_chunk")
