@@ -172,3 +172,14 @@ def test_expanded_rows_are_made_by_several_tasks(spark):
     rows = slices.expanded(few, "n", "k").withColumn("task", F.spark_partition_id())
     tasks = rows.groupBy("task").count().collect()
     assert sum(r["count"] for r in tasks) == sum(50 + i for i in range(40)) and len(tasks) > 4
+
+
+def test_generated_shell_is_made_once(bronze, monkeypatch):
+    """The rows behind the orders are written, not made again by every step that reads them."""
+    from tiffin.catalog import synthesis
+    made = []
+    whole = synthesis.shell
+    monkeypatch.setattr(synthesis, "shell", lambda b: made.append(whole(b)) or made[-1])
+    orders = synthesis.written_orders(bronze)
+    plan = orders._jdf.queryExecution().optimizedPlan().toString()
+    assert len(made) == 1 and "md5" not in plan and orders.count() == 1500

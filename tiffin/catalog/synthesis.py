@@ -11,6 +11,7 @@ from tiffin.operators import allocate, slices
 from tiffin.plans import demand, synth
 from tiffin.plans.demand import actual_hourly
 from tiffin.sources.bronze import NOTES, REASONS, Bronze
+from tiffin.session import materialise
 
 EPOCH = "1995-01-01 00:00:00"
 
@@ -201,14 +202,19 @@ def d13(b: Bronze):
 
 @query("d14_order_items", "select * from x_items")
 def d14(b: Bronze):
-    return synth.order_items(shell(b), b.menu_items(), md5_draw)
+    return synth.order_items(materialise(shell(b), "shell"), b.menu_items(), md5_draw)
 
 
 def made_orders(b: Bronze):
-    s = shell(b)
+    """Each step is written once, as the sorts behind the ids read their rows twice."""
+    s = materialise(shell(b), "shell")
     return synth.finalised(s, synth.order_items(s, b.menu_items(), md5_draw), md5_draw)
 
 
+def written_orders(b: Bronze):
+    return materialise(made_orders(b), "orders")
+
+
 @query("d15_finalised_orders", "select * from x_orders")
 def d15(b: Bronze):
     return made_orders(b)
@@ -216,17 +222,17 @@ def d15(b: Bronze):
 
 @query("d16_match_attempts", "select * from x_attempts")
 def d16(b: Bronze):
-    return synth.match_attempts(made_orders(b), b.riders(), md5_draw)
+    return synth.match_attempts(written_orders(b), b.riders(), md5_draw)
 
 
 @query("d17_payments", "select * from x_payments")
 def d17(b: Bronze):
-    return synth.payments(made_orders(b), md5_draw)
+    return synth.payments(written_orders(b), md5_draw)
 
 
 @query("d18_refunds", "select * from x_refunds")
 def d18(b: Bronze):
-    orders = made_orders(b)
+    orders = written_orders(b)
     return synth.refunds(orders, synth.payments(orders, md5_draw), md5_draw)
 
 
