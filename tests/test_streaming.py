@@ -169,3 +169,25 @@ def test_enriched_events_follow_the_table(spark):
     got = silver.enriched(spark, f"{root}/out", "event_id long, order_id long, zone_id long", False)
     want = {(e, e % 9, (10 if e < 9 else 20) if e % 9 < 5 else None) for e in range(18)}
     assert {tuple(r) for r in got.collect()} == want
+
+
+def test_ranges_of_the_lookup_do_not_grow_with_the_orders(spark, bronze, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tiffin.catalog import streams
+
+    class Wide:
+        """Orders whose ids are far apart, as in a large table."""
+        def __init__(self):
+            self.spark = spark
+
+        def raw(self, table):
+            return bronze.raw(table).withColumn("o_orderkey", F.col("o_orderkey") * 5_000)
+
+        def shells(self):
+            return bronze.shells().withColumn("order_id", F.col("order_id") * 5_000)
+
+    written = streams._order_zones(Wide(), str(tmp_path))
+    table = spark.read.parquet(written.path)
+    assert table.select("_range").distinct().count() <= streams.RANGES
+    assert table.count() == bronze.shells().count()

@@ -200,13 +200,15 @@ _WINDOW_COLUMNS = ["window_start", "window_end", "zone_id", "event_type", "n_eve
                    "n_late_events", "max_lag_seconds"]
 
 
-SPAN = 4096  # order ids per range of the lookup table
+SPAN = 4096  # order ids per range of the lookup table at least
+RANGES = 64  # ranges at most: each is a folder that a batch lists and opens
 ENRICHED = ("event_id long, order_id long, event_type string, occurred_at timestamp, "
             "received_at timestamp, lag_seconds long, zone_id long")
 
 
 def _order_zones(b: Bronze, root: str) -> KeyedTable:
-    return KeyedTable(b.spark, f"{root}/order_zones", "order_id", SPAN).write(
+    top = b.raw("orders").agg(F.max("o_orderkey")).first()[0] or 0
+    return KeyedTable(b.spark, f"{root}/order_zones", "order_id", max(SPAN, top // RANGES + 1)).write(
         b.shells().select("order_id", F.col("zone_id").cast("long").alias("zone_id")))
 
 
