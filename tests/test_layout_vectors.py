@@ -1,3 +1,4 @@
+import tracemalloc
 from pathlib import Path
 
 import numpy as np
@@ -148,3 +149,19 @@ def test_zero_vectors_come_last(spark):
     got = vectors.top_k(df, df.filter("review_id = 'a'"), 4).orderBy("position").collect()
     assert [(r["review_id"], r["score"]) for r in got] == [("a", 1.0), ("c", -1.0), ("b", None),
                                                           ("d", None)]
+
+
+def test_scoring_holds_a_few_tiles_only():
+    """The room that a block of queries takes against a block of the corpus does not grow with the
+    number of queries."""
+    rng = np.random.default_rng(5)
+    corpus, queries = rng.normal(size=(8_192, 64)), rng.normal(size=(2_048, 64))
+    best = vectors._Best([f"{i:05}" for i in range(len(queries))], queries, 3)
+    tracemalloc.start()
+    best.add([f"{i:05}" for i in range(len(corpus))], corpus)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 64e6
+    got = best.batch().slice(3 * 777, 3)
+    want = np.argsort(-(queries[777] @ corpus.T), kind="stable")[:3]
+    assert got.column("review_id").to_pylist() == [f"{i:05}" for i in want]

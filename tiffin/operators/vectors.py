@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 QUERY_BLOCK = 16_384   # queries per block, on average: 8 MB at 64 dimensions
 CORPUS_BLOCK = 8_192   # corpus rows per block at most
-TILE = 1_024           # queries scored at once against a block
+TILE = 128             # queries scored at once against a block: 8 MB a matrix
 DIGITS = 10 ** 12      # exact copies must tie although a matrix product may differ in the last bits
 NO_DIRECTION = -2 * DIGITS  # below any cosine: a zero or NULL vector comes last, without a score
 
@@ -29,6 +29,15 @@ BEST = pa.schema([("query_id", pa.string()), ("review_id", pa.string()), ("score
 BEST_DDL = "query_id string, review_id string, score long"
 
 
+def _vectors(column: pa.Array) -> list[np.ndarray | None]:
+    """A view per row, not a list of Python numbers, which takes eight times the room."""
+    size = column.value_lengths().fill_null(0).to_numpy()
+    ends = np.cumsum(size)
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return [flat[e - n:e] if ok else None for ok, n, e in
+            zip(column.is_valid().to_pylist(), size.tolist(), ends.tolist(), strict=True)]
+
+
 def _block(block: int, sub: int, ids: list, vectors: list) -> pa.RecordBatch:
     """Rows in order of their ids, as unit vectors; one without direction is NaN."""
     width = max((len(v) for v in vectors if v is not None), default=0)
@@ -38,10 +47,12 @@ def _block(block: int, sub: int, ids: list, vectors: list) -> pa.RecordBatch:
     rows = np.array([vectors[i] if vectors[i] is not None else [0.0] * width for i in order],
                     dtype=np.float64).reshape(len(ids), width)
     norm = np.linalg.norm(rows, axis=1, keepdims=True)
-    units = np.divide(rows, norm, out=np.full_like(rows, np.nan), where=norm > 0)
-    return pa.RecordBatch.from_pylist([{"block": block, "sub": sub, "width": width,
-                                        "ids": [ids[i] for i in order],
-                                        "units": units.tobytes()}], schema=BLOCK)
+    rows[norm[:, 0] == 0] = np.nan  # a NaN in a vector makes its norm one as well
+    rows /= norm
+    return pa.RecordBatch.from_arrays(
+        [pa.array([v], t) for v, t in zip((block, sub, [ids[i] for i in order], width,
+                                           rows.tobytes()), BLOCK.types, strict=True)],
+        schema=BLOCK)
 
 
 def _pack_corpus(slots: int, size: int):
@@ -50,7 +61,7 @@ def _pack_corpus(slots: int, size: int):
         number, ids, vectors = TaskContext.get().partitionId(), [], []
         for batch in batches:
             ids += batch.column("review_id").to_pylist()
-            vectors += batch.column("vector").to_pylist()
+            vectors += _vectors(batch.column("vector"))
             while len(ids) >= size:
                 yield _block(number % slots, 0, ids[:size], vectors[:size])
                 number, ids, vectors = number + 1, ids[size:], vectors[size:]
@@ -64,7 +75,8 @@ def _pack_queries(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, sub, ids, vectors = None, 0, [], []
         for batch in batches:
-            for b, i, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for b, i, v in zip(*(c.to_pylist() for c in batch.columns[:2]),
+                               _vectors(batch.column(2)), strict=True):
                 if ids and (b != block or len(ids) >= size):
                     yield _block(block, sub, ids, vectors)
                     sub, ids, vectors = (sub + 1 if b == block else 0), [], []
@@ -81,41 +93,45 @@ def _keys(queries: np.ndarray, corpus: np.ndarray) -> np.ndarray:
     if not queries.shape[1] or not corpus.shape[1]:
         return np.full((len(queries), len(corpus)), NO_DIRECTION, np.int64)
     score = queries @ corpus.T
-    return np.where(np.isnan(score), NO_DIRECTION, np.rint(score * DIGITS)).astype(np.int64)
+    score *= DIGITS
+    np.rint(score, out=score)
+    score[np.isnan(score)] = NO_DIRECTION
+    return score.astype(np.int64)
 
 
 class _Best:
-    """The k best corpus rows of each query of a block so far."""
+    """The k best corpus rows of each query of a block so far, by tiles of queries, so that a task
+    holds a few matrices of a tile and a corpus block, whatever the size of the query block."""
 
     def __init__(self, ids: list[str], units: np.ndarray, k: int):
         self.ids, self.units, self.k = ids, units, k
-        self.score = np.empty((len(ids), 0), np.int64)
-        self.found = np.empty((len(ids), 0), object)
+        rows = [len(ids[lo:lo + TILE]) for lo in range(0, len(ids), TILE)]
+        self.best = [(np.empty((n, 0), np.int64), np.empty((n, 0), object)) for n in rows]
 
     def add(self, ids: list[str], units: np.ndarray) -> None:
         k, names = min(self.k, len(ids)), np.array(ids, dtype=object)
         # Ids of a block ascend, so among equal scores the earlier place wins.
         place = np.arange(len(ids) - 1, -1, -1)
-        score, found = np.empty((len(self.ids), k), np.int64), np.empty((len(self.ids), k), object)
-        for lo in range(0, len(self.ids), TILE):
-            raw = _keys(self.units[lo:lo + TILE], units)
-            key = raw * len(ids) + place
+        for tile, held in enumerate(self.best):
+            key = _keys(self.units[tile * TILE:(tile + 1) * TILE], units)
+            key *= len(ids)
+            key += place
             top = np.argpartition(key, len(ids) - k, axis=1)[:, len(ids) - k:]
-            score[lo:lo + TILE] = np.take_along_axis(raw, top, axis=1)
-            found[lo:lo + TILE] = names[top]
-        score, found = (np.concatenate(p, axis=1) for p in
-                        ((self.score, score), (self.found, found)))
-        keep = min(self.k, score.shape[1])
-        row = np.repeat(np.arange(len(self.ids)), score.shape[1])
-        _, rank = np.unique(found.ravel(), return_inverse=True)
-        order = np.lexsort((rank, -score.ravel(), row)).reshape(score.shape)[:, :keep]
-        self.score, self.found = score.ravel()[order], found.ravel()[order]
+            raw = np.take_along_axis(key, top, axis=1) // len(ids)
+            score, found = (np.concatenate(p, axis=1) for p in
+                            zip(held, (raw, names[top]), strict=True))
+            keep = min(self.k, score.shape[1])
+            row = np.repeat(np.arange(len(score)), score.shape[1])
+            _, rank = np.unique(found.ravel(), return_inverse=True)
+            order = np.lexsort((rank, -score.ravel(), row)).reshape(score.shape)[:, :keep]
+            self.best[tile] = score.ravel()[order], found.ravel()[order]
 
     def batch(self) -> pa.RecordBatch:
-        n = self.score.shape[1]
+        score, found = (np.concatenate(p) for p in zip(*self.best, strict=True))
+        n = score.shape[1]
         return pa.RecordBatch.from_arrays([
             pa.array(np.repeat(np.array(self.ids, dtype=object), n), pa.string()),
-            pa.array(self.found.ravel(), pa.string()), pa.array(self.score.ravel())], schema=BEST)
+            pa.array(found.ravel(), pa.string()), pa.array(score.ravel())], schema=BEST)
 
 
 def _search(k: int):
