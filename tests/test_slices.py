@@ -117,6 +117,20 @@ def test_attach(df, rows):
         assert (r["s"], r["m"]) == (sum(x[3] for x in g), min(x[2] for x in g))
 
 
+def test_attach_folds_to_one_row_per_key(spark):
+    """A row per key and salt would be as many rows as there are, where groups are small."""
+    df = spark.range(400).selectExpr("if(id < 40, null, id % 90) as k", "id as v")
+    found = skew.attach(df, ["k"], s=("sum", F.col("v")))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    groups = [line for line in plan.splitlines() if "Aggregate [" in line]
+    assert len(groups) == 1 and "_salt" not in groups[0].split("],")[0] and "Window" not in plan
+    total = {}
+    for r in df.collect():
+        total[r["k"]] = total.get(r["k"], 0) + r["v"]
+    assert {(r["k"], r["v"], r["s"]) for r in found.collect()} == {
+        (r["k"], r["v"], total[r["k"]]) for r in df.collect()}
+
+
 def test_attach_keeps_null_keys(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 5)], "k string, v long")
     got = {(r["k"], r["v"]): r["s"] for r in skew.attach(df, ["k"], s=("sum", F.col("v"))).collect()}

@@ -9,7 +9,6 @@ the same one.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SALTS = 64
@@ -24,16 +23,20 @@ def attach(df: DataFrame, keys: list[str], salts: int = SALTS, **aggs: tuple[str
            ) -> DataFrame:
     """Add aggregates of each row's key group; ``out=(fold, column)`` with sum, min or max.
 
-    Folded per (key, salt), then over the salts of a key, then joined back on (key, salt): no task
-    sees more than a 1/salts share of a key.
+    Folded per key, with map-side combining, next to a bit for each salt that the key's rows have; one
+    row per key and such salt is joined back on (key, salt), so no task sees more than a 1/salts share
+    of a key. A row per key and salt from the start would be a row per row where groups are small.
     """
+    if salts > SALTS:
+        raise ValueError(f"{salts} salts: their bits must fit a long, {SALTS} at most")
     folds = {"sum": F.sum, "min": F.min, "max": F.max}
     salted = df.withColumn("_salt", _salt(df, salts))
-    parts = salted.groupBy(*keys, "_salt").agg(
-        *[folds[fold](col).alias(f"_{out}") for out, (fold, col) in aggs.items()])
-    whole = W.partitionBy(*keys)  # at most `salts` rows per key
-    merged = parts.select(*keys, "_salt", *[folds[fold](f"_{out}").over(whole).alias(out)
-                                            for out, (fold, _) in aggs.items()])
+    bit = F.expr("shiftleft(1L, _salt)")
+    whole = salted.groupBy(*keys).agg(*[folds[fold](col).alias(out)
+                                        for out, (fold, col) in aggs.items()],
+                                      F.bit_or(bit).alias("_bits"))
+    merged = (whole.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+              .filter(F.col("_bits").bitwiseAND(bit) != 0).drop("_bits"))
     return null_safe(salted, merged, keys + ["_salt"], list(aggs)).drop("_salt")
 
 
