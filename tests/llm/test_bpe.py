@@ -1,10 +1,14 @@
 import hashlib
 import random
+import tracemalloc
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from tiffin.llm import bpe
+from tiffin.llm import bpe, common
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -60,3 +64,36 @@ def test_clashing_columns_are_replaced(odd):
 def test_decoding_alone(spark, odd):
     rows = spark.createDataFrame([([64, 50256],), (None,), ([],)], "ids array<int>")
     assert [r.decoded for r in bpe.decode(rows, PATH).collect()] == ["a<|endoftext|>", "", ""]
+
+
+class _Captured:
+    """Stands in for a table of texts and gives back the function that tasks would run."""
+    columns = ["text"]
+    schema = T.StructType([T.StructField("text", T.StringType())])
+
+    def drop(self, *names):
+        return self
+
+    def mapInArrow(self, run, schema):  # noqa: N802
+        return run
+
+
+def test_a_task_holds_little_beside_its_texts():
+    """A batch of texts is encoded in small slices, and nothing is kept when the task ends."""
+    rng = np.random.default_rng(3)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, n)) for n in rng.integers(2, 8, 60_000)]
+    texts = [" ".join(words[i] for i in rng.integers(0, len(words), 400)) for _ in range(900)]
+    run = bpe.encode(_Captured(), PATH, decoded="decoded")
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    common.powers(common.BASE, 1_000)
+    tracemalloc.start()
+    rows = ok = 0
+    for out in run(iter([batch])):
+        rows += out.num_rows
+        ok += sum(a == b for a, b in zip(*(out.column(c).to_pylist() for c in ("text", "decoded")),
+                                         strict=True))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == ok == len(texts)
+    assert most < 45e6
+    assert not common._POWERS

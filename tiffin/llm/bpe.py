@@ -29,6 +29,7 @@ PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 LONG_WORD = 2_000      # symbols; longer words are merged with a heap instead of in rounds
 CACHED_WORDS = 150_000  # words remembered by a task before it starts afresh
+SLICE = 500_000         # bytes encoded at once, as a piece of text takes some fifteen times its bytes
 NONE = np.iinfo(np.int64).max
 
 
@@ -218,7 +219,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids",
     fields = [T.StructField(ids, IDS.dataType, False)]
     if decoded:
         fields.append(T.StructField(decoded, T.StringType(), False))
-    return add_columns(df, text, fields, make)
+    return add_columns(df, text, fields, make, SLICE)
 
 
 def _decoded(token: list[bytes], rows: list) -> pa.Array:

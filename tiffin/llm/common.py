@@ -21,12 +21,14 @@ def tidy(run: Callable) -> Callable:
     """``run`` for mapInArrow, which gives freed memory back to the system when a task ends.
 
     Python workers are used again by later stages, so what the C allocator keeps of one stage's
-    large arrays would be added to the next one's.
+    large arrays, and the powers that the next call of the same stage would use, would be added to the
+    next one's.
     """
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from run(batches)
         finally:
+            _POWERS.clear()
             gc.collect()
             pa.default_memory_pool().release_unused()
             with contextlib.suppress(OSError, AttributeError):  # other systems have no such call
@@ -70,8 +72,9 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
 
 
 def add_columns(df: DataFrame, column: str, fields: list[T.StructField],
-                make: Callable[[], Callable[[list], list[pa.Array]]]) -> DataFrame:
-    """Append columns computed from one column, batch by batch.
+                make: Callable[[], Callable[[list], list[pa.Array]]],
+                limit: int = SLICE_BYTES) -> DataFrame:
+    """Append columns computed from one column, batch by batch of about ``limit`` bytes.
 
     ``make`` runs once per task and returns the function from a list of values (None for NULL) to
     one Arrow array per field. Columns that already have one of the new names are replaced.
@@ -90,7 +93,7 @@ def add_columns(df: DataFrame, column: str, fields: list[T.StructField],
         names = order + [f.name for f in fields]
         for batch in batches:
             column = batch.column(kept_index)
-            for lo, hi in slices(column):
+            for lo, hi in slices(column, limit):
                 old = [batch.column(i).slice(lo, hi - lo) for i in old_index]
                 yield pa.RecordBatch.from_arrays(
                     old + fn(column.slice(lo, hi - lo).to_pylist()), names=names)
