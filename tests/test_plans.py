@@ -4,6 +4,7 @@ from tiffin.catalog import ORACLE, QUERIES
 from tiffin.catalog.oracle import SALT
 from tiffin.operators import quality
 from tiffin.plans import demand, events, marts, reviews, staging, synth
+from tiffin.session import tasks
 
 
 def plan(df):
@@ -142,3 +143,22 @@ def test_absent_arrival_path(spark):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
+
+
+def test_keys_of_links_are_dealt_to_a_given_number_of_tasks(bronze):
+    """Spark puts partitions together by bytes, and one task sorted the keys of all payments."""
+    for key, links in (("q03_relationships_clean", 1), ("q03_relationships_broken", 1),
+                       ("j04_orphans", 1), ("q10_integrity_clean", 5),
+                       ("q10_integrity_broken", 5)):
+        dealt = QUERIES[key](bronze)._jdf.queryExecution().executedPlan().toString()
+        assert dealt.count("REPARTITION_BY_NUM") == 2 * links, key
+
+
+def test_tasks_grow_with_rows(spark):
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert tasks(spark.range(10)) == least
+    assert tasks(spark.range(0, 1000), rows=10) == 100
+    child = spark.range(3000).selectExpr("id % 1500 as k", "id")
+    parent = spark.range(1000).withColumnRenamed("id", "p")
+    lost = quality.relationships(child, "k", parent, "p", tasks(child, rows=100))
+    assert lost.count() == 1000 and lost.agg(F.min("k"), F.max("k")).first()[:] == (1000, 1499)

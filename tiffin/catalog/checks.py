@@ -41,14 +41,14 @@ def q02_broken(b: Bronze):
  where order_id not in (select o_orderkey from orders)""")
 def q03(b: Bronze):
     orders = b.raw("orders").select(F.col("o_orderkey").alias("order_id"))
-    return quality.relationships(b.lines(), "order_id", orders, "order_id").select("order_id",
-                                                                                   "line_no")
+    return quality.relationships(b.lines(), "order_id", orders, "order_id",
+                                 b.tasks("lineitem")).select("order_id", "line_no")
 
 
 @query("q03_relationships_broken", "select refund_id, payment_id from b_claims where payment_id < 0")
 def q03_broken(b: Bronze):
-    return quality.relationships(b.refund_claims(), "payment_id", b.payments(), "payment_id") \
-        .select("refund_id", "payment_id")
+    return quality.relationships(b.refund_claims(), "payment_id", b.payments(), "payment_id",
+                                 b.tasks("orders")).select("refund_id", "payment_id")
 
 
 _NOTES = ", ".join(f"'{n}'" for n in NOTES)
@@ -196,13 +196,13 @@ def _links(b: Bronze, claims: bool):
 union all select 'refund_payment', refund_id, payment_id from b_refunds
  where payment_id not in (select payment_id from b_payments)""")
 def q10(b: Bronze):
-    return quality.orphans(_links(b, claims=False))
+    return quality.orphans(_links(b, claims=False), b.tasks("lineitem"))
 
 
 @query("q10_integrity_broken", """select 'refund_payment' as link, refund_id as row_id,
  payment_id as missing_key from b_claims where payment_id < 0""")
 def q10_broken(b: Bronze):
-    return quality.orphans(_links(b, claims=True))
+    return quality.orphans(_links(b, claims=True), b.tasks("lineitem"))
 
 
 @query("q11_parent_orphans", """select 'restaurant_zone' as link, restaurant_id as row_id,

@@ -195,7 +195,8 @@ def j03(b: Bronze):
 @query("j04_orphans", "select refund_id, payment_id from m_claims where payment_id < 0")
 def j04(b: Bronze):
     return quality.relationships(b.refund_claims().select("refund_id", "payment_id"), "payment_id",
-                                 b.payments(), "payment_id").select("refund_id", "payment_id")
+                                 b.payments(), "payment_id", b.tasks("orders")
+                                 ).select("refund_id", "payment_id")
 
 
 view("m_tier_orders", """select a.order_id, r.payout_tier as tier, a.responded_at

@@ -26,10 +26,19 @@ def unique(df: DataFrame, cols: list[str]) -> DataFrame:
             .filter("n_rows > 1"))
 
 
-def relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Child rows whose key has no parent; a NULL child passes."""
+def relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str,
+                  parts: int | None = None) -> DataFrame:
+    """Child rows whose key has no parent; a NULL child passes.
+
+    ``parts`` deals both sides to that many tasks by key. Without it Spark puts partitions together by
+    their compressed bytes, which are few for keys, and one task may sort the keys of a whole table.
+    A child key of very many rows stays in one task then, whose sort spills.
+    """
     keys = parent.select(F.col(parent_col).alias(col))
-    return child.filter(F.col(col).isNotNull()).join(keys, col, "left_anti")
+    child = child.filter(F.col(col).isNotNull())
+    if parts:
+        child, keys = child.repartition(parts, col), keys.repartition(parts, col)
+    return child.join(keys, col, "left_anti")
 
 
 def accepted_values(df: DataFrame, col: str, values: Iterable, where: Column | None = None
@@ -82,12 +91,14 @@ def volume_mismatch(shells: DataFrame, demand: DataFrame) -> DataFrame:
             .filter("expected <> actual"))
 
 
-def orphans(links: dict[str, tuple[DataFrame, str, str, DataFrame, str]]) -> DataFrame:
-    """All orphan rows over named links: name -> (child, id, key, parent, parent key)."""
+def orphans(links: dict[str, tuple[DataFrame, str, str, DataFrame, str]],
+            parts: int | None = None) -> DataFrame:
+    """All orphan rows over named links: name -> (child, id, key, parent, parent key). ``parts`` is
+    for links between large tables, see ``relationships``."""
     out = None
     for name, (child, row_id, key, parent, parent_key) in links.items():
         cols = list(dict.fromkeys([row_id, key]))
-        bad = relationships(child.select(*cols), key, parent, parent_key).select(
+        bad = relationships(child.select(*cols), key, parent, parent_key, parts).select(
             F.lit(name).alias("link"), F.col(row_id).cast("bigint").alias("row_id"),
             F.col(key).cast("bigint").alias("missing_key"))
         out = bad if out is None else out.unionByName(bad)

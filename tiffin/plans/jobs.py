@@ -12,7 +12,7 @@ from tiffin.functions.draws import Draw, xx_draw
 from tiffin.operators import quality
 from tiffin.operators.quality import Check
 from tiffin.plans import marts, model_tests, staging, staging_tests, synth
-from tiffin.session import materialise
+from tiffin.session import materialise, tasks
 from tiffin.sources.contracts import BRONZE
 from tiffin.sources.tables import overwrite, swap
 
@@ -31,7 +31,7 @@ def fact_checks(t: dict[str, DataFrame]) -> list[Check]:
         "refund_order": (t["refunds"], "refund_id", "order_id", orders, "order_id"),
         "refund_payment": (t["refunds"], "refund_id", "payment_id", t["payments"], "payment_id")}
     return [
-        Check("no orphans", lambda: quality.orphans(links)),
+        Check("no orphans", lambda: quality.orphans(links, tasks(t["order_items"]))),
         Check("one accepted offer per matched order",
               lambda: quality.one_accepted_match(orders, t["match_attempts"])),
         Check("subtotal equals its items",

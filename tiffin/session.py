@@ -64,3 +64,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     copied(path, df)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def tasks(df: DataFrame, rows: int = 500_000) -> int:
+    """Tasks that get about ``rows`` rows each, and no fewer than a shuffle has. Of a table in files
+    the count comes from footers."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-df.count() // rows))

@@ -17,6 +17,7 @@ from tiffin.functions.money import MONEY
 from tiffin.functions.text import damaged
 from tiffin.operators.skew import lookup
 from tiffin.operators.slices import block_ranked
+from tiffin.session import tasks
 
 # Delivery notes, cuisines, damage-free and in sentence case.
 NOTES = ["Ring the bell twice", "Leave at the door", "Call on arrival", "No onions please",
@@ -74,6 +75,10 @@ class Bronze:
         """Row count as a scalar subquery; parquet answers it from footers."""
         return self.spark.read.parquet(self.path(table)).agg(F.count(F.lit(1))).scalar()
 
+    def tasks(self, table: str) -> int:
+        """Tasks for a shuffle of a table's keys."""
+        return tasks(self.spark.read.parquet(self.path(table)))
+
     # -- reference tables ------------------------------------------------------------------
 
     def cities(self) -> DataFrame:
