@@ -1,6 +1,7 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from tiffin.llm import jaccard
@@ -62,3 +63,18 @@ def test_components_of_a_long_chain(spark):
     links = [(i, i + 1) for i in range(0, 300)] + [(900, 901), (7, 7), (None, 3)]
     got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {i: 0 for i in range(301)} | {900: 900, 901: 900}
+
+
+def test_counters_are_small_for_small_tasks_and_exact(spark):
+    rows = [(i, " ".join(f"w{(i * 7 + k) % 90}" for k in range(40))) for i in range(64)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(16).persist()
+    surveyed = jaccard.survey(docs, 3).persist()
+    sent = surveyed.where("block is not null").selectExpr("sum(length(counters)) as bytes").first()
+    sets = jaccard.shingle_sets([t for _, t in rows], 3)
+    assert sent.bytes <= 6 * sum(map(len, sets))
+    want = sum(np.bincount((s >> np.uint64(44)).astype(np.int64), minlength=jaccard.BUCKETS)
+               for s in sets)
+    assert (jaccard.rarity(surveyed) == want).all()
+    for k in (0, 5, jaccard.BLOCK):
+        block = np.arange(jaccard.BLOCK) * (np.arange(jaccard.BLOCK) < k)
+        assert (jaccard.unpacked(jaccard.packed(block)) == block).all()

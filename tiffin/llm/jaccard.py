@@ -36,6 +36,7 @@ from tiffin.session import materialise
 
 BUCKETS = 1 << 20      # counters of the rarity sketch: 4 MB whatever the input
 BLOCK = 1 << 14        # counters per row while the sketches of tasks are added up
+PLACED = np.dtype([("at", "<u2"), ("count", "<u4")])
 SEEN_BITS = 1 << 25    # bits of the candidate bitmap: 4 MB whatever the input
 PARTS = 32             # hash ranges of the suffix filter
 STARS = 4              # smallest hashes per document in the first step
@@ -85,10 +86,29 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, pa.Record
             yield column.slice(lo, hi - lo).to_pylist(), part
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """A block of counters, ``PLACED`` pairs where these are fewer bytes than all of its numbers."""
+    at = np.flatnonzero(counts)
+    if len(at) * PLACED.itemsize >= BLOCK * 4:
+        return counts.astype(np.uint32).tobytes()
+    pairs = np.empty(len(at), PLACED)
+    pairs["at"], pairs["count"] = at, counts[at]
+    return pairs.tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    if len(raw) == BLOCK * 4:
+        return np.frombuffer(raw, np.uint32).astype(np.int64)
+    pairs, out = np.frombuffer(raw, PLACED), np.zeros(BLOCK, np.int64)
+    out[pairs["at"]] = pairs["count"]
+    return out
+
+
 def survey(docs: DataFrame, n: int) -> DataFrame:
     """One pass: per document its set size and digest, and per task its part of the rarity sketch.
 
-    Rows with ``block`` NULL are documents; the others hold counters.
+    Rows with ``block`` NULL are documents; the others hold counters, at most 6 bytes per n-gram of the
+    task and 4 MB, so that many small tasks don't send as many whole sketches.
     """
     def run(batches):
         total = np.zeros(BUCKETS, np.uint32)
@@ -107,7 +127,7 @@ def survey(docs: DataFrame, n: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64()),
              pa.nulls(len(rows), pa.binary()), pa.array([i // BLOCK for i in rows], pa.int32()),
-             pa.array([total[i:i + BLOCK].tobytes() for i in rows], pa.binary())],
+             pa.array([packed(total[i:i + BLOCK]) for i in rows], pa.binary())],
             names=["doc_id", "n", "digest", "block", "counters"])
     return docs.mapInArrow(
         tidy(run), "doc_id long, n long, digest binary, block int, counters binary")
@@ -120,7 +140,7 @@ def rarity(surveyed: DataFrame) -> np.ndarray:
         for batch in batches:
             for block, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                   strict=True):
-                counts = np.frombuffer(raw, np.uint32).astype(np.int64)
+                counts = unpacked(raw)
                 sums[block] = sums[block] + counts if block in sums else counts
         for block, counts in sums.items():
             yield pa.RecordBatch.from_arrays(
