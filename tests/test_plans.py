@@ -162,3 +162,20 @@ def test_tasks_grow_with_rows(spark):
     parent = spark.range(1000).withColumnRenamed("id", "p")
     lost = quality.relationships(child, "k", parent, "p", tasks(child, rows=100))
     assert lost.count() == 1000 and lost.agg(F.min("k"), F.max("k")).first()[:] == (1000, 1499)
+
+
+def test_staging_adds_up_the_lines_of_orders_once(bronze, monkeypatch):
+    from tiffin.catalog import checks
+    calls, whole = [], type(bronze).orders
+
+    def counted(self):
+        calls.append(1)
+        return whole(self)
+    monkeypatch.setattr(type(bronze), "orders", counted)
+    staged = checks._staged(bronze)
+    assert len(calls) == 1
+    wanted = {"payments": staging.passed(bronze.payments(), "payments"),
+              "refunds": staging.stg_refunds(bronze.refunds())}
+    for name, df in wanted.items():
+        assert staged[name].dtypes == df.dtypes
+        assert staged[name].exceptAll(df).isEmpty() and df.exceptAll(staged[name]).isEmpty()

@@ -490,15 +490,21 @@ _VIEWS = {"cities": "b_cities", "zones": "b_zones", "restaurants": "b_restaurant
 
 
 def _staged(b: Bronze, damage=None):
-    """All staging models, written once; ``damage`` changes the orders before that."""
+    """All staging models, written once; ``damage`` changes the orders before the tests.
+
+    Payments and refunds come from the written orders, whose subtotals take the lines to add up.
+    """
     from tiffin.catalog import models
-    orders = stg_orders(b)
-    made = {"orders": orders if damage is None else damage(orders), "refunds": stg_refunds(b),
+    orders = materialise(stg_orders(b), "stg-orders")
+    made = {"refunds": staging.stg_refunds(b.refunds(orders)),
+            "payments": staging.passed(b.payments(orders), "payments"),
             "customers": models.d03(b), "order_items": models.order_items(b),
             "demand_daily": actual_daily(b), "demand_hourly": actual_hourly(b)}
-    for name in _VIEWS.keys() - made.keys():
+    for name in _VIEWS.keys() - made.keys() - {"orders"}:
         made[name] = staging.passed(getattr(b, name)(), name)
-    return {name: materialise(df, f"stg-{name}") for name, df in made.items()}
+    written = {name: materialise(df, f"stg-{name}") for name, df in made.items()}
+    return written | {"orders": orders if damage is None
+                      else materialise(damage(orders), "stg-damaged-orders")}
 
 
 @query("q13_staging_tests_clean", staging_tests.sql(_VIEWS))

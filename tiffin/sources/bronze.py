@@ -252,8 +252,10 @@ class Bronze:
                     "when (order_id + attempt) % 2 = 0 then 'DECLINED' else 'TIMEOUT' end "
                     "as response", "responded_at"))
 
-    def payments(self) -> DataFrame:
-        return (self.orders().filter("order_status <> 'UNFULFILLED'")
+    def payments(self, orders: DataFrame | None = None) -> DataFrame:
+        """``orders`` may be given when they are already written, here and in ``refunds``."""
+        return ((self.orders() if orders is None else orders)
+                .filter("order_status <> 'UNFULFILLED'")
                 .withColumn("paid_at", _seconds("placed_at", "5 + order_id % 30"))
                 .selectExpr(
                     "order_id as payment_id", "order_id", "order_total as amount",
@@ -262,8 +264,8 @@ class Bronze:
                     "case when order_id % 100 = 7 then 'FAILED' else 'SUCCESS' end as status",
                     "paid_at"))
 
-    def refunds(self) -> DataFrame:
-        due = self.orders().filter(
+    def refunds(self, orders: DataFrame | None = None) -> DataFrame:
+        due = (self.orders() if orders is None else orders).filter(
             "order_status = 'CANCELLED' or (order_status = 'DELIVERED' "
             "and order_id % 1000 between 100 and 127)")
         amount = F.expr("cast(case when order_status = 'CANCELLED' then order_total else "
